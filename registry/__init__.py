@@ -6,6 +6,10 @@ checks those against brute force on small fixtures.
 
 from __future__ import annotations
 
+import functools
+
+from seriesloom.session import ship_package
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
@@ -14,7 +18,13 @@ def register(name: str, sql: str | None = None):
     def add(fn):
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark, sf_dir):
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn
@@ -23,4 +33,4 @@ def register(name: str, sql: str | None = None):
 
 def load() -> None:
     """Import the modules that register."""
-    from . import dataset  # noqa: F401
+    from . import dataset, reports  # noqa: F401

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import ratio
 from ..functions import distributions as dist
@@ -18,7 +19,7 @@ def group_stats(df: DataFrame, cluster: str = "cluster", value: str = "value") -
         (F.var_pop(value) * F.count(value)).alias("ss"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _f_tail(f: pd.Series, df1: pd.Series, df2: pd.Series) -> pd.Series:
     return pd.Series([dist.f_tail(*v) for v in zip(f, df1, df2)], dtype=float)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,3 +51,19 @@ def durable(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of every executor."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="seriesloom-package-"), "seriesloom")
+    archive = shutil.make_archive(target, "zip", os.path.dirname(package),
+                                  os.path.basename(package))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
