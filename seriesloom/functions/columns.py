@@ -24,9 +24,13 @@ def q(name: str) -> str:
 
 
 def snap(c, digits: int = 6) -> Column:
-    """Half-up rounding by floor, used where summation order can show."""
+    """Rounding by floor, used where summation order can show.
+
+    The boundary is a little off one half, so that binary fractions such as
+    1/128, which lie exactly between two steps, do not fall on either side.
+    """
     scale = float(10**digits)
-    return F.floor(as_col(c) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    return F.floor(as_col(c) * F.lit(scale) + F.lit(0.5137)) / F.lit(scale)
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

@@ -96,3 +96,13 @@ def studentized_range_critical(alpha: float, k: int, df: float) -> float:
         else:
             high = mid
     return (low + high) / 2.0
+
+
+def slope_p_values(r: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Two-sided p of regression slopes from their correlation and row count."""
+    out = np.full(len(r), np.nan)
+    for i in np.flatnonzero((n > 2) & ~np.isnan(r)):
+        df = n[i] - 2.0
+        # t^2 = r^2 df / (1 - r^2), so df / (df + t^2) = 1 - r^2
+        out[i] = beta_inc(df / 2.0, 0.5, 1.0 - min(1.0, r[i] * r[i]))
+    return out

@@ -43,18 +43,28 @@ def factorize(df: DataFrame, column: str, order: list, name: str) -> DataFrame:
     return df.join(coded, column, "left")
 
 
-def exact_quantiles(df: DataFrame, keys: list[str], value: str,
-                    quantiles: list[float], slices: int = 32,
-                    out: str = "quantiles") -> DataFrame:
+def counted_values(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Each distinct value of a group once, as `_v` with its count `_c`.
+
+    Written once because quantiles read it several times.
+    """
+    return durable(df.where(as_col(value).isNotNull())
+                   .groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
+
+
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, quantiles: list[float],
+                    slices: int = 32, out: str = "quantiles") -> DataFrame:
+    return quantiles_of(counted_values(df, keys, value), keys, quantiles, slices, out)
+
+
+def quantiles_of(counted: DataFrame, keys: list[str], quantiles: list[float],
+                 slices: int = 32, out: str = "quantiles") -> DataFrame:
     """Linear-interpolated quantiles per group as an array column, plus `n`.
 
-    Equal values collapse into one counted row first, so copies of a value cost
-    one row. Each group is then cut into value slices at approximate quantiles:
-    a task sorts one slice, not one group. Slice counts are exact, so the
-    result is exact however rough the cuts are.
+    Equal values are one counted row. Each group is cut into value slices at
+    approximate quantiles, so a task sorts one slice and not one group. Slice
+    counts are exact, so the result is exact however rough the cuts are.
     """
-    counted = (df.where(as_col(value).isNotNull())
-               .groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
     cuts = counted.groupBy(*keys).agg(
         F.percentile_approx("_v", [i / slices for i in range(1, slices)], 1000).alias("_cuts"),
         F.sum("_c").alias("n"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import is_small, join_checked, q, ratio
 from . import prep
-from .ranking import exact_quantiles
+from .ranking import counted_values, exact_quantiles, quantiles_of
 
 
 def cumulative_sales(days: DataFrame) -> DataFrame:
@@ -159,33 +159,28 @@ class ClusterReports:
 
     def box(self, variables: list[str], whiskers: tuple | None = (2.5, 97.5)) -> DataFrame:
         """Quartiles, whisker ends and outlier count; `whiskers=None` means 1.5 IQR."""
-        values = self._long(variables)
+        keys = ["cluster", "variable"]
+        counted = counted_values(self._long(variables), keys, "value")
         low_p, high_p = whiskers or (25.0, 75.0)
-        found = exact_quantiles(values, ["cluster", "variable"], "value",
-                                [low_p / 100, 0.25, 0.5, 0.75, high_p / 100])
         p = F.col("quantiles")
-        marks = found.select("cluster", "variable", p[1].alias("q1"), p[2].alias("median"),
-                             p[3].alias("q3"), p[0].alias("_pl"), p[4].alias("_ph"))
-        iqr = F.col("q3") - F.col("q1")
+        marks = quantiles_of(counted, keys, [low_p / 100, 0.25, 0.5, 0.75, high_p / 100]).select(
+            *keys, "n", p[1].alias("q1"), p[2].alias("median"), p[3].alias("q3"),
+            p[0].alias("_low"), p[4].alias("_high"))
         if whiskers is None:
-            marks = marks.withColumn("_pl", F.col("q1") - 1.5 * iqr) \
-                .withColumn("_ph", F.col("q3") + 1.5 * iqr)
-        v = F.col("value")
-        marks_cols = ["q1", "median", "q3", "_pl", "_ph"]
-        out = self._attach(values, marks, ["cluster", "variable"]).groupBy("cluster", "variable").agg(
-            *[F.first(c).alias(c) for c in marks_cols],
-            F.count(F.lit(1)).alias("n"),
-            F.min(F.when(v >= F.col("_pl"), v)).alias("_wl"),
-            F.max(F.when(v <= F.col("_ph"), v)).alias("_wh"))
+            reach = 1.5 * (F.col("q3") - F.col("q1"))
+            marks = marks.withColumns({"_low": F.col("q1") - reach, "_high": F.col("q3") + reach})
+        v = F.col("_v")
         # a whisker never ends inside the box
-        out = out.withColumn("whisker_low", F.least(F.coalesce("_wl", "q1"), "q1")) \
-            .withColumn("whisker_high", F.greatest(F.coalesce("_wh", "q3"), "q3"))
-        ends = out.select("cluster", "variable", "n", "q1", "median", "q3",
-                          "whisker_low", "whisker_high")
-        outside = self._attach(values, ends.select("cluster", "variable", "whisker_low", "whisker_high"),
-                               ["cluster", "variable"]).groupBy("cluster", "variable").agg(
-            F.count_if((v < F.col("whisker_low")) | (v > F.col("whisker_high"))).alias("n_outliers"))
-        return ends.join(outside, ["cluster", "variable"])
+        ends = self._attach(counted, marks, keys).groupBy(*keys).agg(
+            *[F.first(c).alias(c) for c in ("n", "q1", "median", "q3")],
+            F.min(F.when(v >= F.col("_low"), v)).alias("_wl"),
+            F.max(F.when(v <= F.col("_high"), v)).alias("_wh")
+        ).withColumns({"whisker_low": F.least(F.coalesce("_wl", "q1"), "q1"),
+                       "whisker_high": F.greatest(F.coalesce("_wh", "q3"), "q3")}).drop("_wl", "_wh")
+        beyond = (v < F.col("whisker_low")) | (v > F.col("whisker_high"))
+        outside = self._attach(counted, ends, keys).groupBy(*keys).agg(
+            F.coalesce(F.sum(F.when(beyond, F.col("_c"))), F.lit(0)).alias("n_outliers"))
+        return ends.join(outside, keys)
 
     def density(self, variables: list[str], points: int = 100) -> DataFrame:
         """Gaussian kernel density on an even grid (Scott's bandwidth).
