@@ -317,3 +317,34 @@ def dynamics(x: np.ndarray) -> dict:
             if len(roots):
                 out[DYNAMICS_FIELDS[7]] = float(np.max(roots.real))
     return out
+
+
+# --------------------------------------------------------------- time warping
+
+def dtw_batch(a: np.ndarray, len_a: np.ndarray, b: np.ndarray, len_b: np.ndarray,
+              window: int | None = None) -> np.ndarray:
+    """Warping distance of many pairs at once: root of the cheapest path of squared
+    differences. Rows of `a` and `b` are padded; `window` limits |i - j|."""
+    pairs, n, m = len(a), a.shape[1], b.shape[1]
+    a_t, b_t = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
+    above = np.full((m + 1, pairs), np.inf)
+    above[0] = 0.0
+    out = np.full(pairs, np.inf)
+    for i in range(n):
+        row = np.full((m + 1, pairs), np.inf)
+        low, high = (0, m) if window is None else (max(0, i - window), min(m, i + window + 1))
+        for j in range(low, high):
+            step = np.minimum(np.minimum(above[j + 1], row[j]), above[j])
+            row[j + 1] = (a_t[i] - b_t[j]) ** 2 + step
+        ends = np.flatnonzero(len_a == i + 1)
+        out[ends] = row[len_b[ends], ends]
+        above = row
+    return np.sqrt(out)
+
+
+def padded(series: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    lengths = np.array([len(s) for s in series], dtype="int64")
+    table = np.zeros((len(series), int(lengths.max()) if len(series) else 0))
+    for row, s in zip(table, series):
+        row[: len(s)] = s
+    return table, lengths
