@@ -57,14 +57,22 @@ def scale_robust(spark, sf_dir):
     return _scaled(spark, sf_dir, "robust")
 
 
+SEASONS = {"half_": "CAST((month(tran_date) + 5) // 6 AS VARCHAR)",
+           "quarter_": "CAST(quarter(tran_date) AS VARCHAR)", "month_": "CAST(month(tran_date) AS VARCHAR)"}
+
+
 @register("complete_features", f"""
-WITH {cells_sql('year')}, f AS (
-  SELECT sku_key, CAST(year(tran_date) AS VARCHAR) AS feature, sales AS value FROM cells)
+WITH {TX}, {days_sql()}, f AS ({' UNION ALL '.join(
+    f"SELECT sku_key, '{n}' || {e} AS feature, avg(sales) AS value FROM pd GROUP BY 1, 2" for n, e in SEASONS.items())})
 SELECT * FROM f WHERE feature IN (SELECT feature FROM f GROUP BY 1
                                   HAVING count(value) = (SELECT count(DISTINCT sku_key) FROM f))""")
 def complete_features(spark, sf_dir):
-    long = cells(spark, sf_dir, "year").select(
-        "sku_key", F.year("tran_date").cast("string").alias("feature"), F.col("sales").alias("value"))
+    """Seasonal means in long form; seasons in which a product has no sale drop out."""
+    month = F.month("tran_date")
+    parts = {"half_": F.floor((month + 5) / 6), "quarter_": F.quarter("tran_date"), "month_": month}
+    names = F.array(*[F.concat(F.lit(n), e.cast("string")) for n, e in parts.items()])
+    long = days(spark, sf_dir).select("sku_key", "sales", F.explode(names).alias("feature")).groupBy(
+        "sku_key", "feature").agg(F.avg("sales").alias("value"))
     return scale.complete_features(long)
 
 
@@ -78,7 +86,7 @@ def complete_columns(spark, sf_dir):
 E = """WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"""
 BOOK = f"""{E}, u AS (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM e),
 mu AS (SELECT label, i, avg(x) AS w FROM u GROUP BY 1, 2),
-book AS (SELECT label AS node, label // 5 AS bx, label % 5 AS by, list(w ORDER BY i) AS w FROM mu GROUP BY 1)"""
+book AS (SELECT label AS node, label // 5 AS bx, label % 5 AS "by", list(w ORDER BY i) AS w FROM mu GROUP BY 1)"""
 NEAR = f"""{BOOK}, d AS (SELECT vec_id, node, list_distance(v, w) AS dist FROM e CROSS JOIN book),
 r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, node) AS rn FROM d),
 bmu AS (SELECT a.vec_id, a.node, a.dist, b.node AS second FROM r a JOIN r b USING (vec_id)
@@ -120,7 +128,7 @@ def som_map_errors(spark, sf_dir):
 
 
 @register("som_hit_counts", f"""{NEAR}
-SELECT CAST(b.node AS INTEGER) AS node, CAST(bx AS INTEGER) AS x, CAST(by AS INTEGER) AS y, count(vec_id) AS hits
+SELECT CAST(b.node AS INTEGER) AS node, CAST(bx AS INTEGER) AS x, CAST("by" AS INTEGER) AS y, count(vec_id) AS hits
 FROM book b LEFT JOIN bmu USING (node) GROUP BY 1, 2, 3""")
 def som_hit_counts(spark, sf_dir):
     df = _vectors(spark, sf_dir)
@@ -130,7 +138,7 @@ def som_hit_counts(spark, sf_dir):
 
 @register("som_u_matrix", f"""{BOOK}
 SELECT CAST(a.node AS INTEGER) AS node, {snap_sql('avg(list_distance(a.w, b.w))')} AS mean_gap
-FROM book a JOIN book b ON a.node <> b.node AND abs(a.bx - b.bx) <= 1 AND abs(a.by - b.by) <= 1 GROUP BY 1""")
+FROM book a JOIN book b ON a.node <> b.node AND abs(a.bx - b.bx) <= 1 AND abs(a."by" - b."by") <= 1 GROUP BY 1""")
 def som_u_matrix(spark, sf_dir):
     model = _map(_vectors(spark, sf_dir))
     return som.u_matrix(model.codebook_table(spark)).withColumn("mean_gap", snap("mean_gap"))
@@ -146,7 +154,7 @@ def som_component_planes(spark, sf_dir):
 
 
 @register("som_one_step", f"""{NEAR},
-h AS (SELECT a.node, b.node AS other, exp(-((a.bx - b.bx) ** 2 + (a.by - b.by) ** 2) / 2.0) AS h
+h AS (SELECT a.node, b.node AS other, exp(-((a.bx - b.bx) ** 2 + (a."by" - b."by") ** 2) / 2.0) AS h
       FROM book a CROSS JOIN book b),
 s AS (SELECT node AS other, i, sum(x) AS s, count(*) AS n
       FROM (SELECT bmu.node, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM e JOIN bmu USING (vec_id)) GROUP BY 1, 2)

@@ -7,36 +7,42 @@ import math
 import numpy as np
 
 
-def _log_beta(a: float, b: float) -> float:
-    return math.lgamma(a) + math.lgamma(b) - math.lgamma(a + b)
-
-
-def beta_inc(a: float, b: float, x: float) -> float:
-    """Regularized incomplete beta by its continued fraction (modified Lentz)."""
-    if not 0.0 < x < 1.0:
-        return 0.0 if x <= 0.0 else 1.0
-    if x > (a + 1.0) / (a + b + 2.0):
-        return 1.0 - beta_inc(b, a, 1.0 - x)
-    front = math.exp(a * math.log(x) + b * math.log1p(-x) - _log_beta(a, b)) / a
-    tiny = 1e-300
-    c, d = 1.0, 0.0
-    value = 1.0
-    for step in range(2000):
+_log_gamma = np.vectorize(math.lgamma, otypes=[float])
+
+
+def beta_inc_rows(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Regularized incomplete beta per row, by its continued fraction."""
+    a, b, x = np.broadcast_arrays(*(np.asarray(v, dtype=float) for v in (a, b, x)))
+    flip = x > (a + 1.0) / (a + b + 2.0)
+    p, q, z = np.where(flip, b, a), np.where(flip, a, b), np.where(flip, 1.0 - x, x)
+    inside = (x > 0.0) & (x < 1.0)
+    z = np.where(inside, z, 0.5)
+    log_beta = _log_gamma(p) + _log_gamma(q) - _log_gamma(p + q)
+    front = np.exp(p * np.log(z) + q * np.log1p(-z) - log_beta) / p
+    # convergents from the recurrences for numerators and denominators, rescaled
+    n0, n1 = np.zeros_like(z), np.ones_like(z)
+    d0, d1 = np.ones_like(z), np.ones_like(z)
+    value = n1 / d1
+    for step in range(1, 400):
         m = step // 2
-        if step == 0:
-            term = 1.0
-        elif step % 2 == 0:
-            term = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        if step % 2:
+            term = -(p + m) * (p + q + m) * z / ((p + 2 * m) * (p + 2 * m + 1))
         else:
-            term = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
-        d = 1.0 + term * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + term / c if abs(c) > tiny else tiny
-        c = c if abs(c) > tiny else tiny
-        value *= c * d
-        if step and abs(1.0 - c * d) < 1e-15:
+            term = m * (q - m) * z / ((p + 2 * m - 1) * (p + 2 * m))
+        n0, n1 = n1, n1 + term * n0
+        d0, d1 = d1, d1 + term * d0
+        size = np.where(d1 == 0.0, 1.0, d1)
+        n0, n1, d0, d1 = n0 / size, n1 / size, d0 / size, d1 / size
+        if (np.abs(n1 - value) <= 1e-14 * np.abs(n1)).all():
+            value = n1
             break
-    return front * (value - 1.0)
+        value = n1
+    tail = front * value
+    return np.where(inside, np.where(flip, 1.0 - tail, tail), np.where(x <= 0.0, 0.0, 1.0))
+
+
+def beta_inc(a: float, b: float, x: float) -> float:
+    return float(beta_inc_rows(a, b, x))
 
 
 def f_tail(f: float, df1: float, df2: float) -> float:
@@ -101,8 +107,7 @@ def studentized_range_critical(alpha: float, k: int, df: float) -> float:
 def slope_p_values(r: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Two-sided p of regression slopes from their correlation and row count."""
     out = np.full(len(r), np.nan)
-    for i in np.flatnonzero((n > 2) & ~np.isnan(r)):
-        df = n[i] - 2.0
-        # t^2 = r^2 df / (1 - r^2), so df / (df + t^2) = 1 - r^2
-        out[i] = beta_inc(df / 2.0, 0.5, 1.0 - min(1.0, r[i] * r[i]))
+    known = (n > 2) & ~np.isnan(r)
+    # t^2 = r^2 df / (1 - r^2), so df / (df + t^2) = 1 - r^2
+    out[known] = beta_inc_rows((n[known] - 2.0) / 2.0, 0.5, 1.0 - np.minimum(1.0, r[known] ** 2))
     return out

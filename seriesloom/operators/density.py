@@ -18,15 +18,29 @@ from pyspark.sql import functions as F
 from ..session import durable
 from .graph import connected_components
 from .pairs import BLOCK_ROWS, block_tasks, run_tasks, to_blocks
+from .ranking import sorted_rank
 
 CELL = ["cx", "cy"]
-REACH = [(i, j) for i in range(-2, 3) for j in range(-2, 3) if abs(i) + abs(j) < 4]
+TILE = ["tx", "ty"]
+ROWS_PER_TILE = 512
 
 
-def to_cells(points: DataFrame, eps: float, key: str) -> DataFrame:
+def to_cells(points: DataFrame, eps: float, key: str) -> tuple[DataFrame, list[tuple]]:
+    """Points with their cell and tile, and the offsets of the tiles within reach.
+
+    Tasks pair tiles. Where cells hold few rows a tile joins several cells, so
+    that a sparse plane does not fall into a task per point.
+    """
     side = eps / math.sqrt(2.0)
-    return points.select(
+    cells = points.select(
         key, "x", "y", F.floor(F.col("x") / side).alias("cx"), F.floor(F.col("y") / side).alias("cy"))
+    rows, used = cells.groupBy(*CELL).agg(F.count(F.lit(1)).alias("n")).agg(
+        F.sum("n"), F.count(F.lit(1))).first()
+    wide = max(1, math.isqrt(int(ROWS_PER_TILE * used / rows))) if rows else 1
+    tiled = cells.withColumns({t: F.floor(F.col(c) / wide) for t, c in zip(TILE, CELL)})
+    reach = 2 if wide == 1 else 1
+    return tiled, [(i, j) for i in range(-reach, reach + 1) for j in range(-reach, reach + 1)
+                   if abs(i) + abs(j) < 4]
 
 
 def _xy(side: dict) -> np.ndarray:
@@ -40,7 +54,8 @@ def _gaps(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def neighbour_counts(points: DataFrame, eps: float, key: str = "sku_key",
                      rows: int = BLOCK_ROWS) -> DataFrame:
     """(`key`, `neighbours`): rows within eps, the row itself included."""
-    blocked = to_blocks(to_cells(points, eps, key), CELL, key, rows)
+    cells, reach = to_cells(points, eps, key)
+    blocked = to_blocks(cells, TILE, key, rows)
 
     def kernel(a: dict, b: dict, same: bool) -> dict:
         near = _gaps(_xy(a), _xy(b)) <= eps * eps
@@ -50,18 +65,19 @@ def neighbour_counts(points: DataFrame, eps: float, key: str = "sku_key",
             counts.append(near.sum(axis=0))
         return {key: pa.concat_arrays(ids), "c": pa.array(np.concatenate(counts).astype("int64"))}
     key_type = points.schema[key].dataType.simpleString()
-    parts = run_tasks(blocked, block_tasks(blocked, CELL, offsets=REACH), [key, "x", "y"],
+    parts = run_tasks(blocked, block_tasks(blocked, TILE, offsets=reach), [key, "x", "y"],
                       f"{key} {key_type}, c bigint", kernel)
     return parts.groupBy(key).agg(F.sum("c").alias("neighbours"))
 
 
-def _core_points(cells: DataFrame, eps: float, min_points: int, key: str, rows: int) -> DataFrame:
+def _core_points(cells: DataFrame, reach: list, eps: float, min_points: int, key: str,
+                 rows: int) -> DataFrame:
     """Cells plus `core`. Distances are measured only for points of sparse cells."""
     sizes = cells.groupBy(*CELL).agg(F.count(F.lit(1)).alias("_n"))
     sized = cells.join(sizes.withColumn("dense", F.col("_n") >= min_points).drop("_n"), CELL)
-    blocked = to_blocks(sized, CELL, key, rows)
+    blocked = to_blocks(sized, TILE, key, rows)
     sparse_blocks = blocked.where(~F.col("dense")).select(F.col("_block").alias("_s")).distinct()
-    tasks = block_tasks(blocked, CELL, offsets=REACH)
+    tasks = block_tasks(blocked, TILE, offsets=reach)
     open_a = tasks.join(sparse_blocks, tasks["_a"] == sparse_blocks["_s"], "left_semi")
     open_b = tasks.join(sparse_blocks, tasks["_b"] == sparse_blocks["_s"], "left_semi")
     tasks = open_a.unionByName(open_b).distinct()
@@ -79,7 +95,7 @@ def _core_points(cells: DataFrame, eps: float, min_points: int, key: str, rows:
     parts = run_tasks(blocked, tasks, [key, "x", "y", "dense"], f"{key} {key_type}, c bigint", kernel)
     counted = parts.groupBy(key).agg(F.sum("c").alias("_c"))
     return sized.join(counted, key, "left").select(
-        key, "x", "y", *CELL,
+        key, "x", "y", *CELL, *TILE,
         (F.col("dense") | (F.coalesce("_c", F.lit(0)) >= min_points)).alias("core"))
 
 
@@ -93,24 +109,31 @@ def density_clusters(points: DataFrame, eps: float, min_points: int = 5,
     by their smallest cell.
     """
     key_type = points.schema[key].dataType.simpleString()
-    marked = durable(_core_points(to_cells(points, eps, key), eps, min_points, key, rows))
+    cells, reach = to_cells(points, eps, key)
+    marked = durable(_core_points(cells, reach, eps, min_points, key, rows))
     core = marked.where("core")
     name = F.concat_ws(":", *CELL)
-    core_blocks = to_blocks(core.withColumn("cell", name), CELL, key, rows)
+    core_blocks = to_blocks(core.withColumn("cell", name), TILE, key, rows)
 
     def link(a: dict, b: dict, same: bool) -> dict:
-        ca, cb = a["cell"][0].as_py(), b["cell"][0].as_py()
-        touch = ca != cb and bool((_gaps(_xy(a), _xy(b)) <= eps * eps).any())
-        return {"a": pa.array([ca] if touch else [], pa.string()),
-                "b": pa.array([cb] if touch else [], pa.string())}
-    edges = run_tasks(core_blocks, block_tasks(core_blocks, CELL, offsets=[o for o in REACH if o != (0, 0)]),
+        """Pairs of cells with two core points in reach of each other, once each."""
+        i, j = np.nonzero(_gaps(_xy(a), _xy(b)) <= eps * eps)
+        (names_a, code_a), (names_b, code_b) = (
+            np.unique(s["cell"].to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
+            for s in (a, b))
+        met = np.unique(code_a[i] * len(names_b) + code_b[j])
+        left, right = names_a[met // max(len(names_b), 1)], names_b[met % max(len(names_b), 1)]
+        apart = left != right
+        return {"a": pa.array(left[apart].tolist(), pa.string()),
+                "b": pa.array(right[apart].tolist(), pa.string())}
+    edges = run_tasks(core_blocks, block_tasks(core_blocks, TILE, offsets=reach),
                       ["x", "y", "cell"], "a string, b string", link).distinct()
     parts = connected_components(core.select(name.alias("id")), edges)
     labelled = core.withColumn("cell", name).join(parts.withColumnRenamed("id", "cell"), "cell").select(
-        key, "x", "y", *CELL, "component", F.lit(True).alias("core"))
+        key, "x", "y", *TILE, "component", F.lit(True).alias("core"))
     rest = marked.where(~F.col("core")).select(
-        key, "x", "y", *CELL, F.lit(None).cast("string").alias("component"), F.lit(False).alias("core"))
-    blocked = to_blocks(labelled.unionByName(rest), CELL, key, rows)
+        key, "x", "y", *TILE, F.lit(None).cast("string").alias("component"), F.lit(False).alias("core"))
+    blocked = to_blocks(labelled.unionByName(rest), TILE, key, rows)
 
     def border(a: dict, b: dict, same: bool) -> dict:
         found = []
@@ -136,14 +159,13 @@ def density_clusters(points: DataFrame, eps: float, min_points: int = 5,
                 "host": pa.concat_arrays([f[2] for f in found]),
                 "component": pa.concat_arrays([f[3] for f in found])}
     nearest_core = run_tasks(
-        blocked, block_tasks(blocked, CELL, offsets=REACH), [key, "x", "y", "core", "component"],
+        blocked, block_tasks(blocked, TILE, offsets=reach), [key, "x", "y", "core", "component"],
         f"{key} {key_type}, gap double, host {key_type}, component string", border)
     bordered = nearest_core.groupBy(key).agg(
         F.min_by("component", F.struct("gap", "host")).alias("component"))
     members = labelled.select(key, "component").unionByName(bordered)
     sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("_n")).where(
         F.col("_n") >= min_cluster_size)
-    from .ranking import sorted_rank
     numbered = sorted_rank(sizes.select("component"), ["component"], "cluster")
     placed = members.join(numbered, "component")
     return points.select(key).join(placed.select(key, "cluster"), key, "left").select(
