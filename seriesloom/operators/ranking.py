@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.columns import as_col, q
+from ..functions.columns import as_col, join_checked, q
 from ..session import durable
 
 _ROW_BITS = 33  # layout of monotonically_increasing_id: partition << 33 | row
@@ -57,6 +59,16 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, quantiles: list[
     return quantiles_of(counted_values(df, keys, value), keys, quantiles, slices, out)
 
 
+def _position(p: float) -> Column:
+    return F.lit(float(p)) * (F.col("n") - 1)
+
+
+def _ranks(p: float) -> tuple[Column, Column]:
+    """The two ranks that a linear quantile lies between."""
+    low = F.floor(_position(p))
+    return low, F.least(low + 1, F.col("n") - 1)
+
+
 def quantiles_of(counted: DataFrame, keys: list[str], quantiles: list[float],
                  slices: int = 32, out: str = "quantiles") -> DataFrame:
     """Linear-interpolated quantiles per group as an array column, plus `n`.
@@ -65,30 +77,25 @@ def quantiles_of(counted: DataFrame, keys: list[str], quantiles: list[float],
     approximate quantiles, so a task sorts one slice and not one group. Slice
     counts are exact, so the result is exact however rough the cuts are.
     """
-    cuts = counted.groupBy(*keys).agg(
+    cuts = durable(counted.groupBy(*keys).agg(
         F.percentile_approx("_v", [i / slices for i in range(1, slices)], 1000).alias("_cuts"),
-        F.sum("_c").alias("n"))
+        F.sum("_c").alias("n")))
     if keys:
-        cut = counted.join(cuts, keys)
+        cut = join_checked(counted, cuts, keys)
     else:
         whole = cuts.select(F.struct("_cuts", "n").alias("_w")).scalar()
         cut = counted.withColumn("_w", whole).select("_v", "_c", "_w.*")
-    sliced = cut.withColumn("_s", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))) \
-        .drop("_cuts")
-    inside = W.partitionBy(*keys, "_s").orderBy("_v")
-    ranked = sliced.withColumn("_end", F.sum("_c").over(
-        inside.rowsBetween(W.unboundedPreceding, W.currentRow)))
-    per_slice = sliced.groupBy(*keys, "_s").agg(F.sum("_c").alias("_rows"))
+    sliced = cut.withColumn("_s", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).drop("_cuts")
+    per_slice = sliced.groupBy(*keys, "_s").agg(F.sum("_c").alias("_rows"), F.max("n").alias("n"))
     before = W.partitionBy(*keys).orderBy("_s").rowsBetween(W.unboundedPreceding, -1)
-    starts = per_slice.select(*keys, "_s",
-                              F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    placed = ranked.join(starts, [*keys, "_s"]).select(
-        *keys, "_v", "n",
-        (F.col("_start") + F.col("_end") - F.col("_c")).alias("_lo"),
-        (F.col("_start") + F.col("_end")).alias("_hi"))
-
-    def position(p: float) -> Column:
-        return F.lit(float(p)) * (F.col("n") - 1)
+    starts = per_slice.withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    # only slices that hold a wanted rank are sorted
+    wanted_ranks = [r for p in quantiles for r in _ranks(p)]
+    holds = [(F.col("_start") <= r) & (r < F.col("_start") + F.col("_rows")) for r in wanted_ranks]
+    needed = durable(starts.where(reduce(lambda x, y: x | y, holds)).select(*keys, "_s", "_start"))
+    inside = W.partitionBy(*keys, "_s").orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    placed = join_checked(sliced, needed, [*keys, "_s"]).withColumn(
+        "_hi", F.col("_start") + F.sum("_c").over(inside)).withColumn("_lo", F.col("_hi") - F.col("_c"))
 
     def at(rank: Column) -> Column:
         hit = (F.col("_lo") <= rank) & (rank < F.col("_hi"))
@@ -96,13 +103,12 @@ def quantiles_of(counted: DataFrame, keys: list[str], quantiles: list[float],
 
     picks = []
     for i, p in enumerate(quantiles):
-        low = F.floor(position(p))
-        picks += [at(low).alias(f"_a{i}"),
-                  at(F.least(low + 1, F.col("n") - 1)).alias(f"_b{i}")]
+        low, high = _ranks(p)
+        picks += [at(low).alias(f"_a{i}"), at(high).alias(f"_b{i}")]
     wanted = placed.groupBy(*keys).agg(F.first("n").alias("n"), *picks)
     result = []
     for i, p in enumerate(quantiles):
-        part = position(p) - F.floor(position(p))
+        part = _position(p) - F.floor(_position(p))
         low, high = F.col(f"_a{i}"), F.col(f"_b{i}")
         result.append(low + (high - low) * part)
     return wanted.select(*keys, "n", F.array(*result).alias(out))

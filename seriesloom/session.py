@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,14 +44,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
 
 
+_written: list[str] = []
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """Write `df` to the checkpoint folder and continue from the written copy.
+    """Write `df` as a table in the checkpoint folder and continue from that.
 
-    Unlike a local checkpoint this survives the loss of executors, and it pins
-    row order and partition boundaries for whoever reads it twice.
+    Unlike a local checkpoint this survives the loss of executors. As Parquet it
+    keeps column pruning for its readers, and Catalyst knows its size, so that
+    later joins may broadcast it if it is in fact small.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _written.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_durable(spark: SparkSession) -> None:
+    """Delete the tables of `durable` once no DataFrame built on them is needed."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(hadoop).delete(path, True)
 
 
 _shipped: set[str] = set()
