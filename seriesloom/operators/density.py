@@ -32,6 +32,7 @@ def to_cells(points: DataFrame, eps: float, key: str) -> tuple[DataFrame, list[t
     that a sparse plane does not fall into a task per point.
     """
     side = eps / math.sqrt(2.0)
+    points = durable(points.select(key, "x", "y"))
     cells = points.select(
         key, "x", "y", F.floor(F.col("x") / side).alias("cx"), F.floor(F.col("y") / side).alias("cy"))
     rows, used = cells.groupBy(*CELL).agg(F.count(F.lit(1)).alias("n")).agg(

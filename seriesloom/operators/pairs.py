@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import join_checked
 from ..session import durable
 
 BLOCK_ROWS = 2048
@@ -22,13 +23,15 @@ BLOCK_ROWS = 2048
 def to_blocks(df: DataFrame, cell: list[str], key: str, rows: int = BLOCK_ROWS) -> DataFrame:
     """Add `_block`, a text naming the row's cell and its block in the cell.
 
-    The result is written once: the task list and both sides of the tasks read it.
+    The rows are written once: cell sizes, the task list and both sides of the
+    tasks read them.
     """
+    df = durable(df)
     large = (df.groupBy(*cell).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > rows)
              .withColumn("_parts", F.ceil(F.col("_c") / rows)).drop("_c"))
     part = F.pmod(F.xxhash64(key), F.coalesce("_parts", F.lit(1)))
-    return durable(df.join(large, cell, "left")
-                   .withColumn("_block", F.concat_ws(":", *cell, part)).drop("_parts"))
+    return (join_checked(df, large, cell, "left")
+            .withColumn("_block", F.concat_ws(":", *cell, part)).drop("_parts"))
 
 
 def block_tasks(blocked: DataFrame, cell: list[str], neighbours: DataFrame | None = None,

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import as_col, is_small, join_checked, q
 from ..sources.tables import LABEL_COLUMNS
+from ..session import durable
 from .ranking import sorted_rank
 
 GRAINS = ("day", "week", "month", "quarter", "year")
@@ -134,6 +135,7 @@ def start_flags(cells: DataFrame, by: list[str] | None = None) -> DataFrame:
     by = by or []
     starts = cells.groupBy(*by, "sku_key").agg(F.min("tran_date").alias("_start"))
     if by:
+        starts = durable(starts)
         firsts = starts.groupBy(*by).agg(F.min("_start").alias("_first"))
         starts = join_checked(starts, firsts, by)
     else:
@@ -159,7 +161,7 @@ def missing_products(flags: DataFrame, features: DataFrame) -> DataFrame:
 def filled_cells(cells: DataFrame, variable: str = "sales") -> DataFrame:
     """Every product x date cell with `is_missing`, by stretching each observed
     cell over the gap behind it: the work stays inside the product's partition."""
-    dates = calendar(cells)
+    dates = durable(calendar(cells))
     placed = join_checked(cells, dates, "tran_date")
     w = W.partitionBy("sku_key").orderBy("date_pos")
     span = placed.select(
@@ -215,12 +217,13 @@ def one_hot_long(df: DataFrame, keys: list[str], columns: list[str]) -> DataFram
 
 def levels_of(df: DataFrame, columns: list[str], limit: int = 10_000) -> dict[str, list[str]]:
     """Sorted levels per column; they become columns, so their number is checked."""
-    found: dict[str, list[str]] = {}
-    for column in columns:
-        levels = df.select(column).where(F.col(column).isNotNull()).distinct()
-        if not is_small(levels, limit):
-            raise ValueError(f"{column} has over {limit} levels: use one_hot_long")
-        found[column] = sorted(r[0] for r in levels.collect())
+    levels = durable(df.select(*columns).unpivot([], columns, "column", "level")
+                     .where(F.col("level").isNotNull()).distinct())
+    if not is_small(levels, limit):
+        raise ValueError(f"over {limit} levels do not fit a row: use one_hot_long")
+    found: dict[str, list[str]] = {c: [] for c in columns}
+    for column, level in sorted(tuple(r) for r in levels.collect()):
+        found[column].append(level)
     return found
 
 

@@ -42,7 +42,7 @@ def factorize(df: DataFrame, column: str, order: list, name: str) -> DataFrame:
     levels = df.where(as_col(column).isNotNull()).groupBy(column).agg(
         F.min(F.struct(*order)).alias("_first"))
     coded = sorted_rank(levels, ["_first", column], name).drop("_first")
-    return df.join(coded, column, "left")
+    return join_checked(df, coded, column, "left")
 
 
 def counted_values(df: DataFrame, keys: list[str], value: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.columns import is_small, join_checked, q, ratio
+from ..session import durable
 from . import prep
 from .ranking import counted_values, exact_quantiles, quantiles_of
 
@@ -143,9 +144,9 @@ class ClusterReports:
         ends = values.groupBy("cluster", "variable").agg(
             F.min("value").alias("lo"), F.max("value").alias("hi"))
         flat = F.col("lo") == F.col("hi")
-        ends = ends.select("cluster", "variable",
-                           F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-                           F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"))
+        ends = durable(ends.select(
+            "cluster", "variable", F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
+            F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi")))
         width = (F.col("hi") - F.col("lo")) / bins
         spot = F.least(F.floor((F.col("value") - F.col("lo")) / width) + 1, F.lit(bins))
         counts = (self._attach(values, ends, ["cluster", "variable"])
@@ -192,7 +193,7 @@ class ClusterReports:
         stats = values.groupBy("cluster", "variable").agg(
             F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"),
             (F.stddev_samp("value") * F.pow(F.count(F.lit(1)).cast("double"), F.lit(-0.2))).alias("h"))
-        stats = stats.where(F.col("h") > 0)
+        stats = durable(stats.where(F.col("h") > 0))
         counted = values.groupBy("cluster", "variable", "value").agg(F.count(F.lit(1)).alias("_c"))
         at = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("point") / (points - 1)
         z = (at - F.col("value")) / F.col("h")
