@@ -33,4 +33,4 @@ def register(name: str, sql: str | None = None):
 
 def load() -> None:
     """Import the modules that register."""
-    from . import dataset, features, models, reports  # noqa: F401
+    from . import dataset, features, files, models, reports  # noqa: F401

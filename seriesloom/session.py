@@ -47,6 +47,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 _written: list[str] = []
 
 
+def new_table_path(spark: SparkSession) -> str:
+    """A fresh folder name in the checkpoint folder, deleted by `clear_durable`."""
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write `df` as a table in the checkpoint folder and continue from that.
 
@@ -55,10 +63,8 @@ def durable(df: DataFrame) -> DataFrame:
     later joins may broadcast it if it is in fact small.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    path = new_table_path(spark)
     df.write.parquet(path)
-    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
