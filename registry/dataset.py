@@ -17,7 +17,8 @@ from .views import (FIRST_LABELS, LABELS, ORDER, STORES, TX, cells, cells_sql, d
 WITH {TX}, {LABELS}, {days_sql()}, {FIRST_LABELS}
 SELECT pd.*, labels.* EXCLUDE (sku_key) FROM pd LEFT JOIN labels USING (sku_key)""")
 def labelled_product_days(spark, sf_dir):
-    return prep.labelled_days(transactions(spark, sf_dir), ORDER)
+    # measures need no label join, so the aggregate reads the order lines alone
+    return prep.with_labels(days(spark, sf_dir), prep.first_labels(transactions(spark, sf_dir), ORDER))
 
 
 @register("product_day_mean_stock", f"WITH {TX}, {days_sql()} SELECT * FROM pd")

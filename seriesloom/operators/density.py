@@ -71,17 +71,26 @@ def neighbour_counts(points: DataFrame, eps: float, key: str = "sku_key",
     return parts.groupBy(key).agg(F.sum("c").alias("neighbours"))
 
 
+def _mixed_tasks(blocked: DataFrame, reach: list[tuple], sparse_pairs: bool) -> DataFrame:
+    """Tile tasks without pairs of two kind-1 blocks (and of two kind-0 blocks)."""
+    tasks = block_tasks(blocked, [*TILE, "kind"], offsets=[(*o, None) for o in reach])
+
+    def kind(c: str):
+        return F.element_at(F.split(c, ":"), 3)
+    wanted = (kind("_a") == "0") | (kind("_b") == "0")
+    if not sparse_pairs:
+        wanted &= (kind("_a") != kind("_b"))
+    return tasks.where(wanted)
+
+
 def _core_points(cells: DataFrame, reach: list, eps: float, min_points: int, key: str,
                  rows: int) -> DataFrame:
     """Cells plus `core`. Distances are measured only for points of sparse cells."""
     sizes = cells.groupBy(*CELL).agg(F.count(F.lit(1)).alias("_n"))
     sized = cells.join(sizes.withColumn("dense", F.col("_n") >= min_points).drop("_n"), CELL)
-    blocked = to_blocks(sized, TILE, key, rows)
-    sparse_blocks = blocked.where(~F.col("dense")).select(F.col("_block").alias("_s")).distinct()
-    tasks = block_tasks(blocked, TILE, offsets=reach)
-    open_a = tasks.join(sparse_blocks, tasks["_a"] == sparse_blocks["_s"], "left_semi")
-    open_b = tasks.join(sparse_blocks, tasks["_b"] == sparse_blocks["_s"], "left_semi")
-    tasks = open_a.unionByName(open_b).distinct()
+    # sparse cells hold few points, so pairing them with dense blocks stays linear
+    blocked = to_blocks(sized.withColumn("kind", F.col("dense").cast("int")), [*TILE, "kind"], key, rows)
+    tasks = _mixed_tasks(blocked, reach, sparse_pairs=True)
 
     def kernel(a: dict, b: dict, same: bool) -> dict:
         near = _gaps(_xy(a), _xy(b)) <= eps * eps
@@ -100,6 +109,62 @@ def _core_points(cells: DataFrame, reach: list, eps: float, min_points: int, key
         (F.col("dense") | (F.coalesce("_c", F.lit(0)) >= min_points)).alias("core"))
 
 
+def _cell_links(core: DataFrame, reach: list[tuple], eps: float, key: str, rows: int) -> DataFrame:
+    """(`a`, `b`): pairs of cells with core points within eps of each other.
+
+    A cell is first judged by which of its 8 x 8 squares hold points: two squares
+    that lie within eps as a whole link their cells, two that lie farther apart
+    cannot. Points are compared only in squares that leave a pair of cells open,
+    so a cell with a third of all points is mostly 64 rows.
+    """
+    square = eps / math.sqrt(2.0) / 8
+    core = core.withColumns({"sx": F.floor(F.col("x") / square), "sy": F.floor(F.col("y") / square)})
+    squares = core.select(*TILE, "cell", "sx", "sy").distinct().withColumn(
+        "spot", F.concat_ws(":", "cell", "sx", "sy"))
+    blocked = to_blocks(squares, TILE, "spot", rows)
+
+    def judge(a: dict, b: dict, same: bool) -> dict:
+        steps = [np.abs(a[c].to_numpy()[:, None] - b[c].to_numpy()[None, :]) for c in ("sx", "sy")]
+        near = sum((np.maximum(s - 1, 0) * square) ** 2 for s in steps) <= eps * eps * (1 + 1e-9)
+        whole = sum(((s + 1) * square) ** 2 for s in steps) <= eps * eps * (1 - 1e-9)
+        cells_a, cells_b = (s["cell"].to_numpy(zero_copy_only=False).astype(str) for s in (a, b))
+        spots_a, spots_b = (s["spot"].to_numpy(zero_copy_only=False).astype(str) for s in (a, b))
+        i, j = np.nonzero(near)
+        apart = cells_a[i] != cells_b[j]
+        i, j = i[apart], j[apart]
+        first, second = cells_a[i], cells_b[j]
+        low, high = np.where(first < second, first, second), np.where(first < second, second, first)
+        sure = whole[i, j]
+        linked = {(x, y, "", True) for x, y in zip(low[sure].tolist(), high[sure].tolist())}
+        known = {p[:2] for p in linked}
+        rest = np.array([pair not in known for pair in zip(low.tolist(), high.tolist())], dtype=bool)
+        for spots, at in ((spots_a, i), (spots_b, j)):
+            linked |= {(x, y, s, False) for x, y, s in zip(low[rest].tolist(), high[rest].tolist(), spots[at[rest]].tolist())}
+        out = sorted(linked)
+        return {"a": pa.array([r[0] for r in out], pa.string()), "b": pa.array([r[1] for r in out], pa.string()),
+                "spot": pa.array([r[2] for r in out], pa.string()), "sure": pa.array([r[3] for r in out], pa.bool_())}
+    judged = durable(run_tasks(blocked, block_tasks(blocked, TILE, offsets=reach), ["cell", "sx", "sy", "spot"],
+                               "a string, b string, spot string, sure boolean", judge))
+    sure = judged.where("sure").select("a", "b").distinct()
+    doubt = judged.where(~F.col("sure")).join(sure, ["a", "b"], "left_anti").select("spot").distinct()
+    near_points = core.withColumn("spot", F.concat_ws(":", "cell", "sx", "sy")).join(doubt, "spot", "left_semi")
+    points = to_blocks(near_points, TILE, key, rows)
+
+    def link(a: dict, b: dict, same: bool) -> dict:
+        i, j = np.nonzero(_gaps(_xy(a), _xy(b)) <= eps * eps)
+        (names_a, code_a), (names_b, code_b) = (
+            np.unique(s["cell"].to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
+            for s in (a, b))
+        met = np.unique(code_a[i] * len(names_b) + code_b[j])
+        left, right = names_a[met // max(len(names_b), 1)], names_b[met % max(len(names_b), 1)]
+        apart = left != right
+        return {"a": pa.array(left[apart].tolist(), pa.string()),
+                "b": pa.array(right[apart].tolist(), pa.string())}
+    found = run_tasks(points, block_tasks(points, TILE, offsets=reach), ["x", "y", "cell"],
+                      "a string, b string", link)
+    return sure.unionByName(found).distinct()
+
+
 def density_clusters(points: DataFrame, eps: float, min_points: int = 5,
                      min_cluster_size: int = 50, key: str = "sku_key",
                      rows: int = BLOCK_ROWS) -> DataFrame:
@@ -114,27 +179,14 @@ def density_clusters(points: DataFrame, eps: float, min_points: int = 5,
     marked = durable(_core_points(cells, reach, eps, min_points, key, rows))
     core = marked.where("core")
     name = F.concat_ws(":", *CELL)
-    core_blocks = to_blocks(core.withColumn("cell", name), TILE, key, rows)
-
-    def link(a: dict, b: dict, same: bool) -> dict:
-        """Pairs of cells with two core points in reach of each other, once each."""
-        i, j = np.nonzero(_gaps(_xy(a), _xy(b)) <= eps * eps)
-        (names_a, code_a), (names_b, code_b) = (
-            np.unique(s["cell"].to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
-            for s in (a, b))
-        met = np.unique(code_a[i] * len(names_b) + code_b[j])
-        left, right = names_a[met // max(len(names_b), 1)], names_b[met % max(len(names_b), 1)]
-        apart = left != right
-        return {"a": pa.array(left[apart].tolist(), pa.string()),
-                "b": pa.array(right[apart].tolist(), pa.string())}
-    edges = run_tasks(core_blocks, block_tasks(core_blocks, TILE, offsets=reach),
-                      ["x", "y", "cell"], "a string, b string", link).distinct()
+    edges = _cell_links(core.withColumn("cell", name), reach, eps, key, rows)
     parts = connected_components(core.select(name.alias("id")), edges)
     labelled = core.withColumn("cell", name).join(parts.withColumnRenamed("id", "cell"), "cell").select(
         key, "x", "y", *TILE, "component", F.lit(True).alias("core"))
     rest = marked.where(~F.col("core")).select(
         key, "x", "y", *TILE, F.lit(None).cast("string").alias("component"), F.lit(False).alias("core"))
-    blocked = to_blocks(labelled.unionByName(rest), TILE, key, rows)
+    both = labelled.unionByName(rest).withColumn("kind", F.col("core").cast("int"))
+    blocked = to_blocks(both, [*TILE, "kind"], key, rows)
 
     def border(a: dict, b: dict, same: bool) -> dict:
         found = []
@@ -160,7 +212,7 @@ def density_clusters(points: DataFrame, eps: float, min_points: int = 5,
                 "host": pa.concat_arrays([f[2] for f in found]),
                 "component": pa.concat_arrays([f[3] for f in found])}
     nearest_core = run_tasks(
-        blocked, block_tasks(blocked, TILE, offsets=reach), [key, "x", "y", "core", "component"],
+        blocked, _mixed_tasks(blocked, reach, sparse_pairs=False), [key, "x", "y", "core", "component"],
         f"{key} {key_type}, gap double, host {key_type}, component string", border)
     bordered = nearest_core.groupBy(key).agg(
         F.min_by("component", F.struct("gap", "host")).alias("component"))

@@ -37,7 +37,8 @@ def to_blocks(df: DataFrame, cell: list[str], key: str, rows: int = BLOCK_ROWS)
 def block_tasks(blocked: DataFrame, cell: list[str], neighbours: DataFrame | None = None,
                 offsets: list[tuple] | None = None) -> DataFrame:
     """(`_a`, `_b`) block pairs, each once: cells listed in `neighbours`
-    (columns `<cell>_a`, `<cell>_b`), at grid `offsets`, or the same cell."""
+    (columns `<cell>_a`, `<cell>_b`), at grid `offsets`, or the same cell. An
+    offset of None leaves that cell column free."""
     blocks = blocked.select(*cell, "_block").distinct()
     left = blocks.select(*[F.col(c).alias(f"{c}_a") for c in cell], F.col("_block").alias("_a"))
     right = blocks.select(*[F.col(c).alias(f"{c}_b") for c in cell], F.col("_block").alias("_b"))
@@ -45,10 +46,12 @@ def block_tasks(blocked: DataFrame, cell: list[str], neighbours: DataFrame | Non
         left = left.join(neighbours, [f"{c}_a" for c in cell])
     else:
         shifts = offsets or [tuple(0 for _ in cell)]
+        fixed = [c for c, o in zip(cell, shifts[0]) if o is not None]
         near = F.array(*[F.struct(*[(F.col(f"{c}_a") + F.lit(o)).alias(f"{c}_b") if o
                                     else F.col(f"{c}_a").alias(f"{c}_b")
-                                    for c, o in zip(cell, shift)]) for shift in shifts])
+                                    for c, o in zip(cell, shift) if o is not None]) for shift in shifts])
         left = left.withColumn("_n", F.explode(near)).select("*", "_n.*").drop("_n")
+        cell = fixed
     joined = left.join(right, [f"{c}_b" for c in cell])
     return joined.select(F.least("_a", "_b").alias("_a"), F.greatest("_a", "_b").alias("_b")).distinct()
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -58,16 +60,41 @@ def product_day(tx: DataFrame, stock_agg: str = "mean", grain: str = "day") -> D
             .agg(*[e.alias(m) for m, e in measures.items() if m in tx.columns]))
 
 
+# digits that an order column takes, and the shift that makes it positive
+_ORDER_DIGITS = {"date": (7, 1_000_000), "int": (10, 2**31 + 1), "bigint": (20, 2**63 + 1)}
+
+
+def order_code(df: DataFrame, order: list[str]) -> Column:
+    """The order columns as one comparable value, missing values first.
+
+    Dates and integers become the digits of a decimal: a hash aggregate can keep
+    the minimum of a decimal, while that of a struct needs every row sorted.
+    """
+    types = [df.schema[c].dataType.simpleString() for c in order]
+    if any(t not in _ORDER_DIGITS for t in types) or sum(_ORDER_DIGITS[t][0] for t in types) > 38:
+        return F.struct(*order)
+    code, place = F.lit(0).cast("decimal(38,0)"), 0
+    for column, kind in reversed(list(zip(order, types))):
+        digits, shift = _ORDER_DIGITS[kind]
+        number = F.unix_date(column) if kind == "date" else F.col(column)
+        part = F.coalesce(number.cast("decimal(20,0)") + F.lit(Decimal(shift)), F.lit(Decimal(0)))
+        code = code + part.cast("decimal(38,0)") * F.lit(Decimal(10**place))
+        place += digits
+    return code.cast("decimal(38,0)")
+
+
 def first_labels(tx: DataFrame, order: list[str],
                  labels: list[str] = LABEL_COLUMNS) -> DataFrame:
     """The labels of each product's first row in `order`, a whole row at a time.
 
-    `min_by` keeps one candidate per product and task before the shuffle; a
-    row_number over the product would ship every row of it to one task.
+    Rows first collapse to the distinct label rows of a product with their
+    earliest position, in a hash aggregate with map-side partials. A row_number
+    over the product would sort all of its rows in one task.
     """
-    first = F.min_by(F.struct(*labels), F.struct(*order)).alias("_row")
-    return (tx.where(F.col("sku_key").isNotNull()).groupBy("sku_key").agg(first)
-            .select("sku_key", "_row.*"))
+    variants = (tx.where(F.col("sku_key").isNotNull()).groupBy("sku_key", *labels)
+                .agg(F.min(order_code(tx, order)).alias("_at")))
+    first = F.min_by(F.struct(*labels), F.struct("_at", *labels)).alias("_row")
+    return variants.groupBy("sku_key").agg(first).select("sku_key", "_row.*")
 
 
 def with_labels(days: DataFrame, labels: DataFrame) -> DataFrame:
