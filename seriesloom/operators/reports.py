@@ -170,14 +170,15 @@ class ClusterReports:
         if whiskers is None:
             reach = 1.5 * (F.col("q3") - F.col("q1"))
             marks = marks.withColumns({"_low": F.col("q1") - reach, "_high": F.col("q3") + reach})
+        marks = durable(marks)
         v = F.col("_v")
         # a whisker never ends inside the box
-        ends = self._attach(counted, marks, keys).groupBy(*keys).agg(
+        ends = durable(self._attach(counted, marks, keys).groupBy(*keys).agg(
             *[F.first(c).alias(c) for c in ("n", "q1", "median", "q3")],
             F.min(F.when(v >= F.col("_low"), v)).alias("_wl"),
             F.max(F.when(v <= F.col("_high"), v)).alias("_wh")
         ).withColumns({"whisker_low": F.least(F.coalesce("_wl", "q1"), "q1"),
-                       "whisker_high": F.greatest(F.coalesce("_wh", "q3"), "q3")}).drop("_wl", "_wh")
+                       "whisker_high": F.greatest(F.coalesce("_wh", "q3"), "q3")}).drop("_wl", "_wh"))
         beyond = (v < F.col("whisker_low")) | (v > F.col("whisker_high"))
         outside = self._attach(counted, ends, keys).groupBy(*keys).agg(
             F.coalesce(F.sum(F.when(beyond, F.col("_c"))), F.lit(0)).alias("n_outliers"))
