@@ -16,7 +16,14 @@ def register(name: str, sql: str | None = None):
 
 
 from .common import table  # noqa: E402
-from . import exact_dedup, mixing  # noqa: E402
+from . import exact_dedup, mixing, packing  # noqa: E402
+from .tokens import read_vocabulary  # noqa: E402
+
+
+def vocabulary(name: str) -> str:
+    import public_tokenizers  # the installed files; any other path will do
+
+    return read_vocabulary(public_tokenizers.path(name))
 
 
 @register("op1_source_mix")
@@ -32,3 +39,8 @@ SELECT t.doc_id, g.keep_id, CAST(g.group_size AS BIGINT) AS group_size, t.doc_id
 FROM t JOIN g ON t.text = g.text""")
 def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@register("op3_sequence_packing")
+def op3_sequence_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
