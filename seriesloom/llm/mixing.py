@@ -206,7 +206,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     slots = spark.range(0, shards.n).mapInPandas(
         lambda batches: _drawn(batches, shards, blocks, seed),
         "shard bigint, slot int, src int, pass int, block bigint")
-    return Mix(sources, rows, slots.join(spans, ["src", "block"]))
+    # what the range makes is far larger than the range: never broadcast it
+    return Mix(sources, rows, slots.hint("merge").join(spans, ["src", "block"]))
 
 
 def taken(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
