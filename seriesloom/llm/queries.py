@@ -16,7 +16,7 @@ def register(name: str, sql: str | None = None):
 
 
 from .common import table  # noqa: E402
-from . import exact_dedup, mixing, packing  # noqa: E402
+from . import exact_dedup, mixing, packing, toxicity  # noqa: E402
 from .tokens import read_vocabulary  # noqa: E402
 
 
@@ -44,3 +44,9 @@ def op6_exact_dedup(spark, sf_dir):
 @register("op3_sequence_packing")
 def op3_sequence_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@register("op7_toxicity")
+def op7_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
