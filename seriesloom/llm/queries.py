@@ -16,7 +16,7 @@ def register(name: str, sql: str | None = None):
 
 
 from .common import table  # noqa: E402
-from . import exact_dedup, mixing, packing, toxicity  # noqa: E402
+from . import exact_dedup, mixing, packing, quality, toxicity  # noqa: E402
 from .tokens import read_vocabulary  # noqa: E402
 
 
@@ -50,3 +50,9 @@ def op3_sequence_packing(spark, sf_dir):
 def op7_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@register("op9_quality")
+def op9_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
