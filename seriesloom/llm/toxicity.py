@@ -72,20 +72,27 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, least: float = 0.01) -> tupl
     end below `least` are left out of the second fit, so most of a text need not be looked up."""
     size = 1 << BITS
     bad = labels.astype(bool)
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    col = np.concatenate([*rows, np.zeros(0, np.int64)])
-    p = np.bincount(col[bad[row]], minlength=size) + 1.0
-    q = np.bincount(col[~bad[row]], minlength=size) + 1.0
+    p, q = np.ones(size), np.ones(size)
+    for held, features_of in zip(bad, rows):
+        (p if held else q)[features_of] += 1  # a text holds a feature once
     ratio = np.log(p / (bad.sum() + 2)) - np.log(q / ((~bad).sum() + 2))
-    first, _ = _logistic(row, col, np.where(np.abs(ratio) > 0.5, ratio, 0.0), bad)
+    telling = (np.abs(ratio) > 0.5) & (p + q >= 2 + 3)  # held by three texts at least
+    rows = [r[telling[r]] for r in rows]
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
+    col = np.concatenate([*rows, np.zeros(0, np.int32)])
+    first, _ = _logistic(row, col, np.where(telling, ratio, 0.0), bad)
     return _logistic(row, col, np.where(np.abs(first) > least, ratio, 0.0), bad)
 
 
 def _logistic(row, col, ratio, bad, l2: float = 1e-3, rounds: int = 300) -> tuple[np.ndarray, float]:
     """Balanced logistic regression on the features of non-zero ratio, scaled by it (Adam)."""
     used, n = ratio[col] != 0, len(bad)
-    row, (names, local) = row[used], np.unique(col[used], return_inverse=True)
-    values = ratio[names][local]
+    row, col = row[used], col[used]
+    names = np.flatnonzero(np.bincount(col, minlength=len(ratio)))
+    number = np.zeros(len(ratio), dtype=np.int32)
+    number[names] = np.arange(len(names))
+    local = number[col]
+    values = ratio[names].astype(np.float32)[local]
     y = bad.astype(float)
     weight = np.where(bad, 0.5 / max(y.sum(), 1), 0.5 / max(n - y.sum(), 1))
     w = np.zeros(len(names) + 1)
@@ -123,7 +130,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_label: i
         "id", F.coalesce("text", F.lit("")).alias("text"), "label")
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_label: int = 2000,
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_label: int = 1500,
           id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, float]:
     """Fit on a bounded sample: about `per_label` rows of each label outside the held-out fold.
 
@@ -143,7 +150,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_label: i
     y = np.array([r["label"] for r in rows], dtype=float)
     if len(set(y)) < 2:
         return np.zeros(1 << BITS), 0.0 if not len(y) else 6.0 * (2 * y[0] - 1)
-    return fit([np.frombuffer(r["features"], "<i4").astype(np.int64) for r in rows], y)
+    return fit([np.frombuffer(r["features"], "<i4") for r in rows], y)
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = 0.5,
