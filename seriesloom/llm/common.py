@@ -25,3 +25,16 @@ def picked(df: DataFrame, **columns: str) -> DataFrame:
 
 def size_of(df: DataFrame) -> int:
     return df.agg(F.count(F.lit(1))).first()[0]
+
+
+def text_slices(texts: list[str], characters: int = 3_000_000):
+    """(start, end) of runs of texts with about so many characters, to bound a step's memory."""
+    start, held = 0, 0
+    for i, text in enumerate(texts):
+        size = len(text or "")
+        if held and held + size > characters:
+            yield start, i
+            start, held = i, 0
+        held += size
+    if len(texts) > start:
+        yield start, len(texts)

@@ -16,7 +16,7 @@ def register(name: str, sql: str | None = None):
 
 
 from .common import table  # noqa: E402
-from . import exact_dedup, mixing, packing, quality, toxicity  # noqa: E402
+from . import exact_dedup, mixing, ngram_join, packing, quality, toxicity  # noqa: E402
 from .tokens import read_vocabulary  # noqa: E402
 
 
@@ -56,3 +56,9 @@ def op7_toxicity(spark, sf_dir):
 def op9_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+@register("op2_ngram_join")
+def op2_ngram_join(spark, sf_dir):
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id")
