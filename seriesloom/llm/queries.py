@@ -16,7 +16,7 @@ def register(name: str, sql: str | None = None):
 
 
 from .common import table  # noqa: E402
-from . import exact_dedup, mixing, ngram_join, packing, quality, toxicity  # noqa: E402
+from . import exact_dedup, html_text, mixing, ngram_join, packing, quality, toxicity  # noqa: E402
 from .tokens import read_vocabulary  # noqa: E402
 
 
@@ -62,3 +62,8 @@ def op9_quality(spark, sf_dir):
 def op2_ngram_join(spark, sf_dir):
     return ngram_join.similar_documents(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_shingles", "component_id")
+
+
+@register("op10_html_extraction")
+def op10_html_extraction(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
