@@ -16,7 +16,7 @@ def register(name: str, sql: str | None = None):
 
 
 from .common import table  # noqa: E402
-from . import exact_dedup, html_text, mixing, ngram_join, packing, quality, toxicity  # noqa: E402
+from . import chat_format, exact_dedup, html_text, mixing, ngram_join, packing, quality, toxicity  # noqa: E402
 from .tokens import read_vocabulary  # noqa: E402
 
 
@@ -67,3 +67,14 @@ def op2_ngram_join(spark, sf_dir):
 @register("op10_html_extraction")
 def op10_html_extraction(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+#: Texts that look like the control strings of a chat template.
+CONTROL_CONVERSATION = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+@register("op4_chat_formatting")
+def op4_chat_formatting(spark, sf_dir):
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = given.unionByName(spark.createDataFrame(CONTROL_CONVERSATION, given.schema))
+    return chat_format.digests(chat_format.format_conversations(rows))
