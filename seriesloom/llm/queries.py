@@ -16,7 +16,7 @@ def register(name: str, sql: str | None = None):
 
 
 from .common import table  # noqa: E402
-from . import chat_format, exact_dedup, html_text, mixing, ngram_join, packing, quality, toxicity  # noqa: E402
+from . import chat_format, exact_dedup, html_text, mixing, ngram_join, packing, quality, token_files, toxicity  # noqa: E402
 from .tokens import read_vocabulary  # noqa: E402
 
 
@@ -78,3 +78,8 @@ def op4_chat_formatting(spark, sf_dir):
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     rows = given.unionByName(spark.createDataFrame(CONTROL_CONVERSATION, given.schema))
     return chat_format.digests(chat_format.format_conversations(rows))
+
+
+@register("op8_token_files")
+def op8_token_files(spark, sf_dir):
+    return token_files.round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
