@@ -16,7 +16,7 @@ def register(name: str, sql: str | None = None):
 
 
 from .common import table  # noqa: E402
-from . import chat_format, exact_dedup, html_text, mixing, ngram_join, packing, quality, token_files, toxicity  # noqa: E402
+from . import chat_format, exact_dedup, html_text, mixing, ngram_join, packing, permutation_index, quality, token_files, toxicity  # noqa: E402
 from .tokens import read_vocabulary  # noqa: E402
 
 
@@ -83,3 +83,8 @@ def op4_chat_formatting(spark, sf_dir):
 @register("op8_token_files")
 def op8_token_files(spark, sf_dir):
     return token_files.round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@register("op5_permutation_index")
+def op5_permutation_index(spark, sf_dir):
+    return permutation_index.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0)
