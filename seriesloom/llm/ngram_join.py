@@ -81,7 +81,8 @@ def _measured(batches, width):
         for a, b in text_slices(texts):
             sets = shingle_sets(texts[a:b], width)
             marks = [fingerprint(s) if len(s) else (None, None) for s in sets]
-            yield pd.DataFrame({"id": frame["id"].iloc[a:b].to_numpy(), "n": [len(s) for s in sets],
+            yield pd.DataFrame({"id": frame["id"].iloc[a:b].to_numpy(), "digest": frame["digest"].iloc[a:b].to_numpy(),
+                                "n": [len(s) for s in sets],
                                 "a": pd.array([m[0] for m in marks], dtype="Int64"),
                                 "b": pd.array([m[1] for m in marks], dtype="Int64")})
 
@@ -372,7 +373,7 @@ def links_of(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       width: int = WIDTH) -> DataFrame:
-    """One row per input row: the id, `n_shingles`, `component_id`, and the set's marks `a`, `b`.
+    """One row per input row: the id, `n_shingles`, `component_id`, and the text's `digest`.
 
     Texts of fewer than `width` words are one shingle. Null and blank texts have no shingle
     and are linked with nothing. Rows that repeat an id are documents of their own under one
@@ -380,7 +381,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     texts = picked(docs, id=id_col, text=text_col)
     kind = texts.schema["id"].dataType.simpleString()
-    rows = durable(texts.mapInPandas(lambda b: _measured(b, width), f"id {kind}, n bigint, a bigint, b bigint"))
+    rows = durable(texts.withColumn("digest", F.xxhash64("text")).mapInPandas(
+        lambda b: _measured(b, width), f"id {kind}, digest bigint, n bigint, a bigint, b bigint"))
     sets = durable(rows.where("n > 0").groupBy("a", "b").agg(F.min("id").alias("least"), F.max("n").alias("n"))
                    .withColumn("set", F.monotonically_increasing_id()))
     able = shared_sets(texts.select("text"), sets, width)
@@ -400,11 +402,20 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         "a", "b", F.coalesce("component_id", "least").alias("component_id"))
     return rows.join(all_sets, ["a", "b"], "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"), "a", "b")
+        F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"), "digest")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` whose id heads its component, all columns kept. Ids must be unique."""
-    found = similar_documents(docs, id_col, text_col)
-    stays = found.where(F.col(q(id_col)) == F.col("component_id")).select(F.col(q(id_col)).alias("_stays"))
-    return docs.join(durable(stays), docs[q(id_col)] == F.col("_stays"), "left_semi")
+    """The rows of `docs` that head their component, all columns kept. Ids are whole numbers.
+
+    Rows without an id come after all others: a component made of them alone keeps one.
+    Equal rows are kept or dropped together; take exact copies out before.
+    """
+    late = F.lit(2**63 - 1) - F.pmod(F.xxhash64(F.col(q(text_col))), F.lit(1 << 32))
+    named = docs.select(F.coalesce(F.col(q(id_col)).cast("bigint"), late).alias("id"), F.col(q(text_col)).alias("text"))
+    found = similar_documents(named, "id", "text")
+    stays = durable(found.where(F.col("id") == F.col("component_id")).select(
+        F.col("id").alias("_stays"), F.col("digest").alias("_digest")))
+    same = (F.coalesce(F.col(q(id_col)).cast("bigint"), late) == F.col("_stays")) & (
+        F.xxhash64(F.col(q(text_col))) == F.col("_digest"))
+    return docs.join(stays, same, "left_semi")

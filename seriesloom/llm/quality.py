@@ -195,5 +195,5 @@ def accepted(docs: DataFrame, machine: Machine, threshold: float = 0.3, text_col
     def rated(text: pd.Series, numbers: pd.DataFrame) -> pd.Series:
         return pd.Series(shared.value.score([t or "" for t in text], _metadata(numbers, n_meta)))
 
-    numbers = F.struct(*[F.col(q(c)).cast("double").alias(f"m{i}") for i, c in enumerate(metadata)])
+    numbers = F.struct(F.lit(0.0).alias("none"), *[F.col(q(c)).cast("double").alias(f"m{i}") for i, c in enumerate(metadata)])
     return docs.where(rated(F.col(q(text_col)), numbers) >= threshold)
