@@ -10,13 +10,15 @@ The sets of distinct `width`-word shingles are joined at Jaccard >= 3/4 without
    it is only counted. A set whose prefix (n - ceil(3n/4) + 1 rarest shingles) holds only
    such shingles is out.
 4. Sets that share a prefix shingle are candidates. To save the pairs of a large group,
-   each shingle first offers its sets to one centre of like size; then components
-   are taken, and only shingles that still join different components offer all the pairs
-   that are left between these.
-5. Candidates are verified by centre: the partners' ordered sets are laid out as a trie
-   (sorted, with the length of the path each shares with the one before). Walking it,
-   overlap with the centre is counted once for a shared path, and a subtree is left as
-   soon as its remaining length cannot reach the overlap needed.
+   sets first meet in groups: each picks a few of its prefix shingles by a hash that
+   all sets share, so similar sets mostly pick alike, and the sets of one shingle, in chunks
+   of bounded size, are joined with one another unless they are connected already.
+   Then components are taken; shingles that still join different components offer
+   groups again, and at last all the pairs that are left.
+5. A group's ordered sets are laid out as a trie (sorted, with the length of the path each
+   shares with the one before). Walking it, overlap with a set is counted once for a
+   shared path, and a subtree is left as soon as its remaining length cannot reach the
+   overlap needed.
 6. Components of the verified links.
 """
 
@@ -205,7 +207,7 @@ def _ordered(frame: pd.DataFrame) -> pd.DataFrame:
         if prefix > 0:
             own = slice(ends[i], ends[i + 1])
             rows.append((int(names[i, 0]), int(names[i, 1]), n, min(prefix, held), token[own].tobytes(),
-                         df[own].astype("<i8").tobytes()))
+                         np.minimum(df[own], 2**32 - 1).astype("<u4").tobytes()))
     return pd.DataFrame(rows, columns=["a", "b", "n", "prefix", "tokens", "df"])
 
 
@@ -247,36 +249,55 @@ def _prefixes(batches):
 
 
 def _fits(x: str, y: str):
-    """Length and place bounds of a pair that shares a shingle at these places."""
+    """Length and place bounds of a pair at a shared shingle.
+
+    Similar sets meet them at their first shared shingle at the latest: nothing before it
+    counts, so what is left of either set from there on must hold the overlap needed.
+    """
     small, large = F.least(F.col(f"{x}n"), F.col(f"{y}n")), F.greatest(F.col(f"{x}n"), F.col(f"{y}n"))
     need = F.floor((3 * (F.col(f"{x}n") + F.col(f"{y}n")) + 6) / 7)
     rest = F.least(F.col(f"{x}n") - F.col(f"{x}place"), F.col(f"{y}n") - F.col(f"{y}place"))
-    before = F.least(F.col(f"{x}place"), F.col(f"{y}place"))
-    return (4 * small >= 3 * large) & (rest + before >= need)
+    return (4 * small >= 3 * large) & (rest >= need)
 
 
-def _pair(x: str, y: str):
-    return F.least(F.col(x), F.col(y)).alias("a"), F.greatest(F.col(x), F.col(y)).alias("b")
+def meetings(postings: DataFrame, rounds: range) -> DataFrame:
+    """(`token`, `chunk`, `set`): for each round the prefix shingle of smallest hash that a set has,
+    with the others that pick it, in chunks of about CHUNK_SETS."""
+    picks = [F.min_by("token", F.xxhash64("token", F.lit(r))).alias(f"t{r}") for r in rounds]
+    chosen = postings.groupBy("set").agg(*picks).select(
+        "set", F.explode(F.array_distinct(F.array(*[f"t{r}" for r in rounds]))).alias("token"))
+    chosen = durable(chosen)
+    many = chosen.groupBy("token").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
+    return chosen.join(many, "token").select("token", "set", F.pmod(
+        F.xxhash64("set", "token"), F.ceil(F.col("many") / CHUNK_SETS).cast("bigint")).cast("int").alias("chunk"))
 
 
-def first_pairs(postings: DataFrame) -> DataFrame:
-    """Each shingle's sets with the smallest set of like size."""
-    sized = postings.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / float(np.log(4 / 3))))
-    centre = sized.groupBy("token", "class").agg(F.min(F.struct("n", "set", "place")).alias("c")).select(
-        "token", "class", F.col("c.n").alias("cn"), F.col("c.set").alias("cset"), F.col("c.place").alias("cplace"))
-    met = sized.join(centre, ["token", "class"]).where((F.col("set") != F.col("cset")) & _fits("", "c"))
-    return met.select(*_pair("set", "cset")).distinct()
+def open_postings(postings: DataFrame, component: DataFrame) -> DataFrame:
+    """The postings, with `component`, of shingles that join different components."""
+    named = durable(postings.join(component.select(F.col("id").alias("set"), "component"), "set"))
+    still = named.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    return durable(named.join(still.select("token"), "token", "left_semi"))
 
 
-def left_pairs(postings: DataFrame, component: DataFrame, tried: DataFrame) -> DataFrame:
-    """All pairs of different components under a shingle, but those tried."""
-    named = postings.join(component.select(F.col("id").alias("set"), "component"), "set")
-    still = named.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    few = durable(named.join(still.select("token"), "token", "left_semi"))
-    other = few.select("token", *[F.col(c).alias(f"o{c}") for c in ("set", "n", "place", "component")])
-    met = few.join(other, "token").where(
-        (F.col("set") < F.col("oset")) & (F.col("component") != F.col("ocomponent")) & _fits("", "o"))
-    return met.select(F.col("set").alias("a"), F.col("oset").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+def left_pairs(still: DataFrame) -> DataFrame:
+    """All pairs of different components under a shingle of `open_postings`.
+
+    The smaller set leads: its place must leave it the overlap needed with a set of its own
+    size at least, which bounds the other's size too. So it looks only at the size classes
+    up to that bound, and most of a frequent shingle's postings lead nowhere.
+    """
+    def size_class(n):
+        return F.floor(F.log(n.cast("double")) * 10).cast("int")
+
+    upto = (4 * F.col("n") - 7 * F.col("place")) / 3
+    lead = still.where(7 * F.col("place") <= F.col("n")).withColumn(
+        "class", F.explode(F.sequence(size_class(F.col("n")), size_class(F.greatest(upto, F.col("n")) + 1))))
+    other = still.withColumn("class", size_class(F.col("n"))).select(
+        "token", "class", *[F.col(c).alias(f"o{c}") for c in ("set", "n", "place", "component")])
+    first = (F.col("n") < F.col("on")) | ((F.col("n") == F.col("on")) & (F.col("set") < F.col("oset")))
+    met = lead.join(other, ["token", "class"]).where(
+        first & (F.col("component") != F.col("ocomponent")) & _fits("", "o"))
+    return met.select(F.col("set").alias("a"), F.col("oset").alias("b")).distinct()
 
 
 # -- the trie -------------------------------------------------------------------------------------
@@ -295,14 +316,18 @@ class Trie:
             differ = np.flatnonzero(x[:m] != y[:m])
             self.shared[i] = int(differ[0]) if len(differ) else m
 
-    def overlaps(self, probe: np.ndarray, needed: list[int], alphabet: int) -> dict[int, int]:
-        """Overlap with `probe` of every set that reaches its own `needed`."""
+    def overlaps(self, probe: np.ndarray, needed: list[int], alphabet: int, skip=()) -> dict[int, int]:
+        """Overlap with `probe` of every set, but those in `skip`, that reaches its own `needed`."""
         inside = np.zeros(alphabet + 1, dtype=bool)
         inside[probe] = True
         after = len(probe) - np.searchsorted(probe, np.arange(alphabet), side="right")  # of the probe, past a number
         met = np.zeros(1, dtype=np.int64)  # met[d]: overlap of the first d steps of the path
-        found = {}
+        found, least = {}, len(probe) + alphabet
         for i, (path, shared) in enumerate(zip(self.paths, self.shared)):
+            least = min(least, shared)  # what is shared with the last set looked at
+            if self.order[i] in skip:
+                continue
+            shared, least = least, len(probe) + alphabet
             want = needed[self.order[i]]
             depth = min(shared, len(met) - 1)  # a pruned path is known down to its cut only
             met = met[:depth + 1]
@@ -319,34 +344,64 @@ class Trie:
         return found
 
 
-def _joined(rows: list) -> list[tuple[int, int]]:
-    """Links of one centre (the first row) with its partners."""
+def _ranked(rows: list) -> tuple[list[np.ndarray], int]:
+    """The sets as ascending numbers in the global order, and how many numbers there are."""
     token = np.concatenate([np.frombuffer(r.tokens, "<u8") for r in rows])
-    df = np.concatenate([np.frombuffer(r.df, "<i8") for r in rows])
+    df = np.concatenate([np.frombuffer(r.df, "<u4") for r in rows])
     order = np.lexsort((token, df))
     ranked = np.empty(len(token), dtype=np.int64)
     ranked[order] = np.cumsum(np.concatenate([[0], (token[order][1:] != token[order][:-1])])) if len(token) else 0
     ends = np.cumsum([len(r.tokens) // 8 for r in rows])
-    sequences = [ranked[e - len(r.tokens) // 8:e] for e, r in zip(ends, rows)]
-    centre, partners = rows[0], rows[1:]
-    needed = [overlap_needed(centre.n, r.n) for r in partners]
-    found = Trie(sequences[1:]).overlaps(sequences[0], needed, int(ranked.max(initial=0)) + 1)
-    return [(centre.set, partners[i].set) for i in found]
+    return [ranked[e - len(r.tokens) // 8:e] for e, r in zip(ends, rows)], int(ranked.max(initial=0)) + 1
 
 
-def _verified(batches):
+def _with_centre(rows: list) -> list[tuple[int, int]]:
+    """Links of one centre (the first row) with its partners."""
+    sequences, alphabet = _ranked(rows)
+    needed = [overlap_needed(rows[0].n, r.n) for r in rows[1:]]
+    return [(rows[0].set, rows[1 + i].set) for i in Trie(sequences[1:]).overlaps(sequences[0], needed, alphabet)]
+
+
+def _with_each_other(rows: list) -> list[tuple[int, int]]:
+    """Links that connect all similar sets of a group."""
+    sequences, alphabet = _ranked(rows)
+    trie = Trie(sequences)
+    group = list(range(len(rows)))  # the component of each set
+    links = []
+    for i, own in enumerate(rows):
+        skip = {j for j in range(len(rows)) if j <= i or group[j] == group[i]
+                or 4 * min(own.n, rows[j].n) < 3 * max(own.n, rows[j].n)}
+        if len(skip) == len(rows):
+            continue
+        needed = [overlap_needed(own.n, r.n) for r in rows]
+        for j in trie.overlaps(sequences[i], needed, alphabet, skip):
+            links.append((own.set, rows[j].set))
+            if group[j] != group[i]:
+                group = [group[i] if g == group[j] else g for g in group]
+    return links
+
+
+def _grouped(batches, join):
+    """`join` the rows of every group; rows arrive ordered by group."""
     group, key = [], None
     for frame in batches:
         links = []
         for r in frame.itertuples(index=False):
-            if (r.centre, r.chunk) != key:
+            if (r.key, r.chunk) != key:
                 if len(group) > 1:
-                    links += _joined(group)
-                group, key = [], (r.centre, r.chunk)
+                    links += join(group)
+                group, key = [], (r.key, r.chunk)
             group.append(r)
         yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
     if len(group) > 1:
-        yield pd.DataFrame(_joined(group), columns=["a", "b"], dtype="int64")
+        yield pd.DataFrame(join(group), columns=["a", "b"], dtype="int64")
+
+
+def links_in(meeting: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links that connect the similar sets of each chunk of `meetings`."""
+    rows = meeting.join(sets.select("set", "n", "tokens", "df"), "set").withColumnRenamed("token", "key")
+    return rows.repartition("key", "chunk").sortWithinPartitions("key", "chunk", "n", "set").mapInPandas(
+        lambda batches: _grouped(batches, _with_each_other), "a bigint, b bigint")
 
 
 def links_of(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -355,18 +410,18 @@ def links_of(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     both = pairs.groupBy("a").count().withColumnRenamed("count", "of_a")
     other = pairs.groupBy("b").count().withColumnRenamed("count", "of_b")
     turned = pairs.join(both, "a").join(other, "b").select(
-        F.when(F.col("of_a") >= F.col("of_b"), F.col("a")).otherwise(F.col("b")).alias("centre"),
+        F.when(F.col("of_a") >= F.col("of_b"), F.col("a")).otherwise(F.col("b")).alias("key"),
         F.when(F.col("of_a") >= F.col("of_b"), F.col("b")).otherwise(F.col("a")).alias("set"),
         F.greatest("of_a", "of_b").alias("many"))
-    chunked = turned.select("centre", "set", F.pmod(F.xxhash64("set"), F.ceil(
+    chunked = turned.select("key", "set", F.pmod(F.xxhash64("set"), F.ceil(
         F.col("many") / CHUNK_SETS).cast("bigint")).cast("int").alias("chunk"))
     data = sets.select("set", "n", "tokens", "df")
     partners = chunked.join(data, "set").withColumn("role", F.lit(1))
-    centres = chunked.select("centre", "chunk").distinct().withColumn("set", F.col("centre")).join(
+    centres = chunked.select("key", "chunk").distinct().withColumn("set", F.col("key")).join(
         data, "set").withColumn("role", F.lit(0))
-    rows = centres.unionByName(partners.select(centres.columns)).repartition("centre", "chunk").sortWithinPartitions(
-        "centre", "chunk", "role", "set")
-    return rows.mapInPandas(_verified, "a bigint, b bigint")
+    rows = centres.unionByName(partners.select(centres.columns)).repartition("key", "chunk").sortWithinPartitions(
+        "key", "chunk", "role", "set")
+    return rows.mapInPandas(lambda batches: _grouped(batches, _with_centre), "a bigint, b bigint")
 
 
 # -- the whole join -------------------------------------------------------------------------------
@@ -388,11 +443,13 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     able = shared_sets(texts.select("text"), sets, width)
     postings = durable(able.select("set", "n", "prefix", "tokens").mapInPandas(
         _prefixes, "token bigint, set bigint, n bigint, place bigint"))
-    tried = durable(first_pairs(postings))
-    links = durable(links_of(tried, able))
     nodes = able.select(F.col("set").alias("id"))
+    links = durable(links_in(meetings(postings, range(2)), able))
+    part = durable(connected_components(nodes, links))
+    still = open_postings(postings, part)
+    links = durable(links.unionByName(links_in(meetings(still, range(2, 5)), able)))
     part = durable(connected_components(nodes, links))
-    more = durable(links_of(left_pairs(postings, part, tried), able))
+    more = durable(links_of(left_pairs(open_postings(postings, part)), able))
     if not more.isEmpty():
         part = durable(connected_components(nodes, links.unionByName(more)))
     named = part.join(sets.select(F.col("set").alias("id"), "a", "b", "least"), "id")
