@@ -4,26 +4,27 @@ Words repeat, so ids are kept per word. A text may be cut without changing its i
 wherever the tokenizer's own split ends a word anyway:
 
 * "byte" files (byte-level, a word takes the one space before it): before a single
-  space with no white space on either side;
+  space, and on both sides of a single line feed, with no white space on either side;
 * "word" files (white space is dropped): at every space and line feed;
 * in both, between a run of letters and one final `,` `.` `;` `:` `!` or `?`.
 
 Each piece that is new to a task goes through the tokenizers library, a run of
-letters straight to its model. The memory of
-pieces is emptied when it is full, which changes no result.
+letters straight to its model. What is kept has a bound: when the table of pieces is
+full it becomes the old one, from which pieces in use move on; no result changes.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import struct
 
-import numpy as np
-
-#: Pieces kept per task, and the longest piece worth keeping.
-KEPT_PIECES, KEPT_LENGTH = 600_000, 40
+#: Pieces kept per table, and the longest piece worth keeping.
+KEPT_PIECES, KEPT_LENGTH = 800_000, 40
 _SPACE = re.compile(r"(?<=\S) (?=\S)")
 _FINAL = frozenset(",.;:!?")
+BARE = "\ud800"  # no text from Spark holds half a surrogate pair
+_UNEVEN = ("  ", "\n\n", " \n", "\n ")
 
 
 def read_vocabulary(path: str) -> str:
@@ -32,8 +33,15 @@ def read_vocabulary(path: str) -> str:
         return f.read()
 
 
+def _bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class PieceTokenizer:
-    """Ids of texts as little-endian unsigned 32-bit bytes."""
+    """Ids of texts as little-endian unsigned 32-bit bytes.
+
+    A piece stands for itself after one space, or after BARE for itself alone.
+    """
 
     def __init__(self, vocabulary: str, kind: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -43,74 +51,83 @@ class PieceTokenizer:
         self.tokenizer.encode_special_tokens = True
         if kind not in ("byte", "word"):
             raise ValueError(f"kind is byte or word, not {kind!r}")
-        self.kind, self.known, self.model = kind, {}, self.tokenizer.model
+        self.kind, self.model = kind, self.tokenizer.model
+        self.known, self.old = {}, {}
         self.normal = self.tokenizer.normalizer.normalize_str if kind == "word" else None
         # The byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on.
         plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         others = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in plain)}
         self.letters = {b: others.get(b, chr(b)) for b in range(256)}
+        self.finals = {c: _bytes(self.tokenizer.encode(c, add_special_tokens=False).ids) for c in _FINAL}
 
-    def pieces(self, text: str) -> list[str]:
-        if self.kind == "word":
-            # the tokenizer lower-cases as well; a capital sigma's form hangs on its place,
-            # a dotted capital i becomes two characters
-            return (text if "\u03a3" in text or "\u0130" in text else text.lower()).replace("\n", " ").split(" ")
-        parts = _SPACE.split(text)
-        return parts[:1] + [" " + p for p in parts[1:]]
-
-    def _word(self, text: str) -> bytes:
-        """Ids of one normal run of letters: the library's model without its splitting."""
-        mapped = text.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(mapped)], dtype="<u4").tobytes()
-
-    def _raw(self, pieces: list[str]) -> None:
-        mixed = []
+    def encode(self, texts: list[str]) -> list[bytes]:
+        pieces = self._words if self.kind == "word" else self._lines
+        return [b"".join(self._ids(pieces(t))) for t in texts]
+
+    def _words(self, text: str) -> list[str]:
+        # the tokenizer lower-cases as well; a capital sigma's form hangs on its place,
+        # a dotted capital i becomes two characters
+        text = text if "\u03a3" in text or "\u0130" in text else text.lower()
+        return text.replace("\n", " ").split(" ")
+
+    def _lines(self, text: str) -> list[str]:
+        even = not (any(u in text for u in _UNEVEN) or text[:1].isspace() or text[-1:].isspace())
+        if even:
+            pieces = f"{BARE}{text}".replace("\n", f" {BARE}\n {BARE}").split(" ")
+            if len(text.split()) + text.count("\n") == len(pieces):  # no other white space
+                return pieces
+        first, *rest = _SPACE.split(text)
+        return [BARE + first, *rest]
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        found = list(map(self.known.get, pieces))
+        if None in found:
+            made = self._make({p for p, i in zip(pieces, found) if i is None})
+            if len(self.known) + len(made) > KEPT_PIECES:
+                self.old, self.known = self.known, {}
+            self.known.update((p, i) for p, i in made.items() if len(p) <= KEPT_LENGTH)
+            found = [made[p] if i is None else i for p, i in zip(pieces, found)]
+        return found
+
+    def _make(self, pieces: set[str]) -> dict[str, bytes]:
+        made, mixed, known, old, finals = {}, [], self.known, self.old, self.finals
         for p in pieces:
-            text = self.normal(p) if self.normal and p.isalpha() else p
-            if (text[1:] if self.kind == "byte" and p[:1] == " " else text).isalpha():
-                self.known[p] = self._word(text)
+            if (ids := old.get(p)) is not None:
+                made[p] = ids
+            elif p[-1:] in _FINAL and (letters := self._letters(head := p[:-1])):
+                ids = known.get(head) or made.get(head)
+                if ids is None:
+                    ids = made[head] = self._word(letters)
+                made[p] = ids + finals[p[-1]]
+            elif letters := self._letters(p):
+                made[p] = self._word(letters)
             else:
                 mixed.append(p)
-        for p, e in zip(mixed, self.tokenizer.encode_batch(mixed, add_special_tokens=False)):
-            self.known[p] = np.array(e.ids, dtype="<u4").tobytes()
-
-    def _letters(self, piece: str) -> bool:
-        piece = piece[1:] if self.kind == "byte" and piece[:1] == " " else piece
-        return piece.isalpha() and (self.normal is None or piece.isascii() or self.normal(piece).isalpha())
+        if mixed:
+            texts = [p[1:] if p[:1] == BARE else " " * (self.kind == "byte") + p for p in mixed]
+            made |= {p: _bytes(e.ids) for p, e in zip(mixed, self.tokenizer.encode_batch(
+                texts, add_special_tokens=False))}
+        return made
+
+    def _letters(self, piece: str) -> str | None:
+        """What the model gets of a piece, if that is a run of letters."""
+        bare = piece[:1] == BARE
+        text = piece[1:] if bare else piece
+        if not text.isalpha():
+            return None
+        if self.normal and not text.isascii():
+            text = self.normal(text)
+            if not text.isalpha():
+                return None
+        elif self.normal:
+            text = text.lower()
+        return text if bare or self.kind == "word" else " " + text
 
-    def _learn(self, pieces: list[str]) -> None:
-        split, plain = {}, set()
-        for p in pieces:
-            head = p[:-1]
-            if p[-1:] in _FINAL and self._letters(head):
-                split[p] = head
-                plain.update((head, p[-1]))
-            else:
-                plain.add(p)
-        self._raw([p for p in plain if p not in self.known])
-        for p, head in split.items():
-            self.known[p] = self.known[head] + self.known[p[-1]]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for text in texts:
-            parts = self.pieces(text)
-            known = self.known
-            ids = [known.get(p) for p in parts]
-            if None in ids:
-                new = {p for p, i in zip(parts, ids) if i is None}
-                if len(known) + len(new) > KEPT_PIECES:
-                    known.clear()
-                self._learn(list(new))
-                ids = [known[p] if p in known else None for p in parts]
-                if None in ids:  # emptied above: the rest of this text
-                    self._learn(list({p for p, i in zip(parts, ids) if i is None}))
-                    ids = [known[p] for p in parts]
-                for p in new:
-                    if len(p) > KEPT_LENGTH:
-                        del known[p]
-            out.append(b"".join(ids))
-        return out
+    def _word(self, text: str) -> bytes:
+        """Ids of one run of letters: the library's model without its splitting."""
+        if self.kind == "byte" or not text.isascii():
+            text = text.encode().decode("latin-1").translate(self.letters)
+        return _bytes([t.id for t in self.model.tokenize(text)])
 
 
 _ready: dict = {}
