@@ -284,7 +284,7 @@ def pca_embedding(spark, sf_dir):
 
 @register("spectral_embedding")
 def spectral_embedding(spark, sf_dir):
-    return embed.embed(_vectors(spark, sf_dir), 2, "spectral", neighbours=15, key="vec_id", rounds=10)
+    return embed.embed(_vectors(spark, sf_dir), 2, "spectral", neighbours=15, key="vec_id")
 
 
 @register("embedding_by_factor", f"""{E}, c AS (
@@ -299,12 +299,12 @@ def embedding_by_factor(spark, sf_dir):
 
 @register("ward_clusters")
 def ward_clusters(spark, sf_dir):
-    return ward.ward_clusters(_vectors(spark, sf_dir), 6, micro=500, key="vec_id")
+    return ward.ward_clusters(_vectors(spark, sf_dir), 6, micro=100, key="vec_id")
 
 
 @register("ward_last_merges")
 def ward_last_merges(spark, sf_dir):
-    return ward.ward_tree(_vectors(spark, sf_dir), micro=500, key="vec_id").last_merges(18)
+    return ward.ward_tree(_vectors(spark, sf_dir), micro=100, key="vec_id").last_merges(18)
 
 
 # --------------------------------------------------------------- density clusters
@@ -348,7 +348,7 @@ def dtw_clusters(spark, sf_dir):
 
 @register("dtw_medoids")
 def dtw_medoids(spark, sf_dir):
-    return dtw.dtw_medoids(_year_series(spark, sf_dir, fill=True), 4, rounds=2)
+    return dtw.dtw_medoids(_year_series(spark, sf_dir, fill=True), 4)
 
 
 # ------------------------------------------------------------------- supervised

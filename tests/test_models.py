@@ -3,7 +3,7 @@ import itertools
 import numpy as np
 import pytest
 
-from seriesloom.functions import kernels
+from seriesloom.functions import distributions, kernels
 from seriesloom.operators import (density, dtw, embed, graph, kmeans, neighbours, quality, som,
                                   supervised, ward)
 
@@ -75,6 +75,7 @@ def test_dtw_pairs_and_clusters(spark):
              if (d := plain_dtw(data[i], data[j])) <= limit}
     reps = {r["sku_key"]: r["rep"] for r in dtw.copies(df).collect()}
     want = {(i, j): d for (i, j), d in close.items() if reps[i] == i and reps[j] == j}
+    want |= {(r, i): 0.0 for i, r in reps.items() if i != r}
     got = {(r["a"], r["b"]): r["dist"] for r in dtw.dtw_pairs(df, limit, rows=4).collect()}
     assert got.keys() == want.keys() and all(np.isclose(got[k], want[k]) for k in want)
     parent = list(range(80))
@@ -113,7 +114,7 @@ def test_fuzzy_and_spectral(spark):
     df = frame(spark, blobs(60))
     edges = neighbours.fuzzy_edges(neighbours.knn(df, 5), 5).collect()
     assert all(0 < r["weight"] <= 1 + 1e-9 and r["a"] < r["b"] for r in edges)
-    layout = embed.embed(df, 2, "spectral", neighbours=5, rounds=15).collect()
+    layout = embed.embed(df, 2, "spectral", neighbours=5).collect()
     assert len(layout) == 60 and all(np.isfinite(r["vec"]).all() for r in layout)
     with pytest.raises(ValueError):
         embed.embed(df, 2, "other")
@@ -193,17 +194,28 @@ def plain_ward(x, k):
     return {frozenset(g) for g in groups}
 
 
-def test_ward_is_exact_when_rows_fit(spark):
+def test_ward_merges_are_exact():
     x = np.random.default_rng(7).normal(size=(40, 2))
-    tree = ward.ward_tree(frame(spark, x))
+    merges = ward.ward_merges(x, np.ones(len(x)))
     for k in (2, 4, 6):
-        labels = {r["sku_key"]: r["cluster"] for r in tree.assigned(k).collect()}
-        assert partition(labels) == plain_ward(x, k)
-    heights = [r["height"] for r in tree.last_merges(18).orderBy("step").collect()]
-    assert len(heights) == 18 and heights == sorted(heights)
-    big = blobs(300)
-    labels = {r["sku_key"]: r["cluster"] for r in ward.ward_clusters(frame(spark, big), 3, micro=30).collect()}
-    assert partition(labels) == {frozenset(range(i * 100, i * 100 + 100)) for i in range(3)}
+        assert partition(dict(enumerate(ward.cut(merges, len(x), k)))) == plain_ward(x, k)
+
+
+@pytest.mark.parametrize("n", [24, 300])
+def test_ward_is_one_path_for_any_number_of_rows(spark, n):
+    tree = ward.ward_tree(frame(spark, blobs(n)), micro=30)
+    labels = {r["sku_key"]: r["cluster"] for r in tree.assigned(3).collect()}
+    assert partition(labels) == {frozenset(range(i * n // 3, (i + 1) * n // 3)) for i in range(3)}
+    heights = [r["height"] for r in tree.last_merges(10).orderBy("step").collect()]
+    assert heights == sorted(heights)
+
+
+@pytest.mark.parametrize("df", [5, 40, 24_999, 25_001, 1e7])
+def test_studentized_range_is_one_formula(df):
+    # two means: Q / sqrt(2) is a t statistic, so the tail is a two-sided p of t
+    t = 1.7
+    want = distributions.beta_inc(df / 2, 0.5, df / (df + t * t))
+    assert abs(distributions.studentized_range_tail(t * 2 ** 0.5, 2, df) - want) < 1e-6
 
 
 def test_som(spark):
