@@ -134,9 +134,8 @@ def _with_metadata(docs: DataFrame, id_col: str, text_col: str, columns) -> Data
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_label: int = 2000,
           id_col: str = "doc_id", text_col: str = "text", metadata=METADATA) -> Machine:
     """Fit on a bounded sample. With one label alone, or none, every score is its share (1 without rows)."""
-    drawn = labelled_sample(docs, labels, label, per_label, id_col, text_col).select("id", "label")
-    texts = _with_metadata(docs, id_col, text_col, metadata)
-    sample = texts.join(drawn.dropDuplicates(["id"]), "id")
+    drawn = labelled_sample(labels, label, per_label, id_col)
+    sample = _with_metadata(docs, id_col, text_col, metadata).join(F.broadcast(drawn), "id")
     n_meta = len(metadata)
 
     def made(batches):

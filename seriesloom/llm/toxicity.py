@@ -113,9 +113,9 @@ def _per_text(texts: list[str], keep: np.ndarray | None = None) -> list[np.ndarr
     return np.split(feature, np.searchsorted(owner, np.arange(1, len(texts)))) if texts else []
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_label: int,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """About `per_label` rows of each label (all, if fewer), drawn by a hash of the id.
+def labelled_sample(labels: DataFrame, label: str, per_label: int, id_col: str = "doc_id") -> DataFrame:
+    """(`id`, `label`) of about `per_label` ids of each label (all, if fewer), drawn by a hash of the
+    id: few enough to broadcast, whatever the corpus holds.
 
     Rows with crc32(id as text) mod 5 = 0 are held out and never drawn.
     """
@@ -124,10 +124,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_label: i
     counts = {r["label"]: r["count"] for r in own.groupBy("label").count().collect()}
     share = F.when(F.col("label") == 1, F.lit(per_label / max(counts.get(1, 0), 1))).otherwise(
         F.lit(per_label / max(counts.get(0, 0), 1)))
-    drawn = own.where(F.pmod(F.xxhash64("id", F.lit(label)), F.lit(1 << 30)) < share * (1 << 30)).groupBy("id").agg(
+    return own.where(F.pmod(F.xxhash64("id", F.lit(label)), F.lit(1 << 30)) < share * (1 << 30)).groupBy("id").agg(
         F.max("label").alias("label"))
-    return picked(docs, id=id_col, text=text_col).join(drawn, "id").select(
-        "id", F.coalesce("text", F.lit("")).alias("text"), "label")
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_label: int = 1500,
@@ -143,7 +141,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_label: i
             yield pd.DataFrame({"id": frame["id"], "label": frame["label"].astype("int32"),
                                 "features": [r.astype("<i4").tobytes() for r in own]})
 
-    sample = labelled_sample(docs, labels, label, per_label, id_col, text_col)
+    drawn = labelled_sample(labels, label, per_label, id_col)
+    sample = picked(docs, id=id_col, text=text_col).join(F.broadcast(drawn), "id").select(
+        "id", F.coalesce("text", F.lit("")).alias("text"), "label")
     kind = sample.schema["id"].dataType.simpleString()
     rows = sample.mapInPandas(made, f"id {kind}, label int, features binary").collect()
     rows.sort(key=lambda r: (r["id"], r["features"]))
