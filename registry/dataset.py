@@ -9,8 +9,8 @@ from seriesloom.operators import prep, ranking
 from seriesloom.plans.binding import table, transactions
 
 from . import register
-from .views import (FIRST_LABELS, LABELS, ORDER, STORES, TX, cells, cells_sql, days, days_sql,
-                    snap_sql)
+from .views import (FIRST_LABELS, LABELS, ORDER, STORES, TX, YEAR_PIVOT, cells, cells_sql, days,
+                    days_sql, snap_sql, year_pivot)
 
 
 @register("labelled_product_days", f"""
@@ -69,18 +69,9 @@ def pivot_cells(spark, sf_dir):
     return cells(spark, sf_dir)
 
 
-YEARS = range(1995, 2026)
-
-
-@register("pivot_wide_year", f"""
-WITH {cells_sql('year')}
-SELECT sku_key, {', '.join(f"max(CASE WHEN tran_date = DATE '{y}-01-01' THEN sales END) AS y{y}"
-                           for y in YEARS)}
-FROM cells GROUP BY 1""")
+@register("pivot_wide_year", YEAR_PIVOT)
 def pivot_wide_year(spark, sf_dir):
-    dates = [f"{y}-01-01" for y in YEARS]
-    wide = prep.pivot_wide(cells(spark, sf_dir, "year"), dates=dates)
-    return wide.select("sku_key", *[F.col(f"`{d}`").alias(f"y{d[:4]}") for d in dates])
+    return year_pivot(spark, sf_dir)
 
 
 @register("null_counts", f"""

@@ -86,3 +86,15 @@ def reports_sql(grain: str = "day") -> str:
 def snap_sql(expr: str, digits: int = 6) -> str:
     s = f"1e{digits}"
     return f"floor(({expr}) * {s} + 0.5137) / {s}"
+
+
+#: The product x year pivot. SQL names its columns; the query takes them from the data.
+YEAR_PIVOT = f"""WITH {cells_sql('year')}
+SELECT sku_key, {', '.join(f"max(sales) FILTER (tran_date = DATE '{y}-01-01') AS y{y}" for y in range(1995, 2002))}
+FROM cells GROUP BY 1"""
+
+
+def year_pivot(spark, sf_dir) -> DataFrame:
+    c = cells(spark, sf_dir, "year")
+    dates = prep.date_list(c)
+    return prep.pivot_wide(c, dates=dates).toDF("sku_key", *[f"y{d.year}" for d in dates])
