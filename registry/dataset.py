@@ -188,16 +188,27 @@ def factor_codes(spark, sf_dir):
                              "sku_department", ["sku_key"], "code")
 
 
-@register("train_rows")
+def hash_sql(keys: list[str], seed: int) -> str:
+    return f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(keys)}, '{seed}')), 1, 15) AS BIGINT)"
+
+
+@register("train_rows", f"""WITH {TX}, {days_sql()}
+SELECT sku_key, sum(sales) AS sales FROM pd GROUP BY 1 HAVING {hash_sql(['sku_key'], 0)} % 100 < 75""")
 def train_rows(spark, sf_dir):
     totals = days(spark, sf_dir).groupBy("sku_key").agg(F.sum("sales").alias("sales"))
     return prep.train_test_split(totals, ["sku_key"])[0]
 
 
-@register("sampled_rows")
+ROW_KEYS = ["sku_key", "tran_date", "l_orderkey", "l_linenumber"]
+
+
+@register("sampled_rows", f"""WITH {TX}
+SELECT sku_key, tran_date, l_orderkey, l_linenumber, sales, selling_price, avg_discount, stock_open
+FROM tx ORDER BY {hash_sql(ROW_KEYS, 7)}, {', '.join(ROW_KEYS)} LIMIT 4000""")
 def sampled_rows(spark, sf_dir):
     tx = transactions(spark, sf_dir, labels=False)
-    return prep.sample_exact(tx, 4000, ["sku_key", "tran_date", "l_orderkey", "l_linenumber"], seed=7)
+    return prep.sample_exact(tx, 4000, ROW_KEYS, seed=7).select(
+        *ROW_KEYS, "sales", "selling_price", "avg_discount", "stock_open")
 
 
 @register("head_product_days", f"""

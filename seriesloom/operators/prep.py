@@ -264,32 +264,34 @@ def one_hot(df: DataFrame, columns: list[str], levels: dict | None = None) -> Da
 
 
 def hash_order(keys: list[str], seed: int) -> Column:
-    return F.xxhash64(*keys, F.lit(seed))
+    """A number below 16**15 from the keys' text, the same on any engine that has MD5."""
+    text = F.concat_ws("|", *[F.col(q(k)).cast("string") for k in keys], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
 
 
 def train_test_split(df: DataFrame, keys: list[str], train: int = 75,
                      seed: int = 0) -> tuple[DataFrame, DataFrame]:
     """A split by hashed key: stable under re-runs and repartitioning."""
-    side = F.pmod(hash_order(keys, seed), F.lit(100)) < train
+    side = hash_order(keys, seed) % 100 < train
     return df.where(side), df.where(~side)
 
 
 def sample_exact(df: DataFrame, n: int, keys: list[str], seed: int = 0) -> DataFrame:
     """Exactly n rows without replacement, chosen by hashed key.
 
-    A hash threshold lets slightly more than n rows through before the final
-    ordering, so the ordering sees about n rows and not the whole table.
+    A hash threshold lets slightly more than n rows through, and those are ranked by
+    a sort over all tasks, so neither the table nor the sample meets in one task.
     """
     total = df.count()
     if n >= total:
         return df
     share = min(1.0, (n + 6 * n**0.5 + 16) / total)
     order = hash_order(keys, seed)
-    limit = int(-(2**63) + share * (2**64 - 1))
-    near = df.where(order <= F.lit(min(limit, 2**63 - 1)))
+    near = df.where(order <= int(share * 16**15))
     if near.count() < n:
         near = df
-    return near.orderBy(order, *keys).limit(n)
+    ranked = sorted_rank(near.withColumn("_order", order), ["_order", *keys], "_rank")
+    return ranked.where(F.col("_rank") < n).drop("_order", "_rank")
 
 
 def numeric_columns(df: DataFrame, but: list[str]) -> list[str]:

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import as_col, join_checked, q
 from ..session import durable
 
+# A quantile's group is cut into slices of about so many distinct values, and at least so many slices.
+SLICE_ROWS, LEAST_SLICES = 1_000_000, 32
 _ROW_BITS = 33  # layout of monotonically_increasing_id: partition << 33 | row
 
 
@@ -55,8 +57,8 @@ def counted_values(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, quantiles: list[float],
-                    slices: int = 32, out: str = "quantiles") -> DataFrame:
-    return quantiles_of(counted_values(df, keys, value), keys, quantiles, slices, out)
+                    slice_rows: int = SLICE_ROWS, out: str = "quantiles") -> DataFrame:
+    return quantiles_of(counted_values(df, keys, value), keys, quantiles, slice_rows, out)
 
 
 def _position(p: float) -> Column:
@@ -70,15 +72,18 @@ def _ranks(p: float) -> tuple[Column, Column]:
 
 
 def quantiles_of(counted: DataFrame, keys: list[str], quantiles: list[float],
-                 slices: int = 32, out: str = "quantiles") -> DataFrame:
+                 slice_rows: int = SLICE_ROWS, out: str = "quantiles") -> DataFrame:
     """Linear-interpolated quantiles per group as an array column, plus `n`.
 
     Equal values are one counted row. Each group is cut into value slices at
-    approximate quantiles, so a task sorts one slice and not one group. Slice
+    approximate quantiles, so a task sorts one slice and not one group. There are as
+    many slices as keep each near `slice_rows` values in the largest group. Slice
     counts are exact, so the result is exact however rough the cuts are.
     """
+    sizes = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    slices = max(LEAST_SLICES, -(-(sizes.agg(F.max("rows")).first()[0] or 0) // slice_rows))
     cuts = durable(counted.groupBy(*keys).agg(
-        F.percentile_approx("_v", [i / slices for i in range(1, slices)], 1000).alias("_cuts"),
+        F.percentile_approx("_v", [i / slices for i in range(1, slices)], max(1000, 30 * slices)).alias("_cuts"),
         F.sum("_c").alias("n")))
     if keys:
         cut = join_checked(counted, cuts, keys)

@@ -48,9 +48,11 @@ def ranked_profile(df: DataFrame, variables: list[str], cluster: str = "cluster"
 class ClusterReports:
     """Assignments joined once to the product-days they describe."""
 
-    def __init__(self, assignments: DataFrame, days: DataFrame):
+    def __init__(self, assignments: DataFrame, days: DataFrame, pin: bool = False):
+        """`pin` writes the joined table once, for many reports over it."""
         self.assignments = assignments.select("sku_key", "cluster")
-        self.frame = self.assignments.join(days, "sku_key")
+        joined = self.assignments.join(days, "sku_key")
+        self.frame = durable(joined) if pin else joined
         self._few: bool | None = None
 
     @property

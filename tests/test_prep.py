@@ -163,3 +163,21 @@ def test_anova_and_tukey(spark):
     assert np.allclose([t[k]["q"] for k in ((0, 1), (0, 2), (1, 2))], [1.7320508, 6.9282032, 5.1961524])
     assert np.isclose(t[(0, 1)]["se"], 0.5773503) and not t[(0, 1)]["reject"] and t[(0, 2)]["reject"]
     assert np.isclose((t[(0, 1)]["upper"] - t[(0, 1)]["lower"]) / 2 / t[(0, 1)]["se"], 4.339, atol=2e-3)
+
+
+@pytest.mark.parametrize("slice_rows", [7, 1_000_000])
+def test_quantile_slices_grow_with_the_group(spark, slice_rows):
+    values = [float(i * 37 % 1009) for i in range(1009)] + [5.0] * 300
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = ranking.exact_quantiles(df, [], "x", [0.0, 0.025, 0.5, 0.9, 1.0], slice_rows).first()
+    assert got["n"] == len(values)
+    assert np.allclose(got["quantiles"], np.quantile(values, [0.0, 0.025, 0.5, 0.9, 1.0]))
+
+
+def test_sample_and_split_do_not_hang_on_partitions(spark):
+    df = spark.range(5000).withColumnRenamed("id", "sku_key")
+    picked = {r[0] for r in prep.sample_exact(df, 300, ["sku_key"], 1).collect()}
+    assert len(picked) == 300
+    assert picked == {r[0] for r in prep.sample_exact(df.repartition(13), 300, ["sku_key"], 1).collect()}
+    train, test = prep.train_test_split(df, ["sku_key"])
+    assert train.count() + test.count() == 5000 and abs(train.count() - 3750) < 150
