@@ -54,3 +54,20 @@ def test_footrule():
     index = pi.Inverted(order, 20)
     for i in range(30):
         assert (index.footrule(order[i]) == np.abs(full - full[i]).sum(1)).all()
+
+
+def test_recall_with_a_tight_group(spark):
+    """A third of the rows lie in one tight group; its members find one another."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(1500, 32))
+    x[::3] = x[0] + 0.02 * rng.normal(size=(500, 32))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    want = brute(rows, every=20)
+    got = {}
+    for r in pi.nearest(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"),
+                        lambda i: i % 20 == 0, shard_rows=400).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    for inside in (True, False):
+        names = [i for i in want if (i % 3 == 0) == inside]
+        hit = sum(len(got[i] & {j for _, j in want[i]}) for i in names) / (10 * len(names))
+        assert hit >= 0.9, (inside, hit)
