@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from seriesloom.functions.columns import snap
+from seriesloom.session import durable
 from seriesloom.operators import (density, dtw, embed, features as feat, kmeans, neighbours, prep,
                                   quality, scale, som, supervised, vectors, ward)
 from seriesloom.plans.binding import table
@@ -179,8 +180,8 @@ def som_clusters(spark, sf_dir):
 @register("som_product_clusters")
 def som_product_clusters(spark, sf_dir):
     """The winning model on product features: complete columns, scaled, map, k-means."""
-    table_ = scale.complete_columns(feat.extract_features(
-        days(spark, sf_dir), "sales", ["moments", "shape", "counts", "changes"])).persist()
+    table_ = durable(scale.complete_columns(feat.extract_features(
+        days(spark, sf_dir), "sales", ["moments", "shape", "counts", "changes"])))
     v = vectors.to_vectors(table_, [c for c in table_.columns if c != "sku_key"])
     model = som.train_som(v, 15, 15, rough=10, fine=10)
     return som.assign_clusters(som.best_units(v, model), som.cluster_nodes(model, spark, 4))
@@ -358,7 +359,7 @@ def forest_importances(spark, sf_dir):
     d = days(spark, sf_dir)
     table_ = feat.extract_features(d, "sales", ["moments", "changes"]).na.fill(0.0).join(bands(d), "sku_key")
     names = [c for c in table_.columns if c not in ("sku_key", "cluster")]
-    scaled = scale.scale(table_, names, "minmax").persist()
+    scaled = durable(scale.scale(table_, names, "minmax"))
     return supervised.feature_importance(scaled, names, trees=20)[0]
 
 

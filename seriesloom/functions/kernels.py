@@ -210,17 +210,15 @@ def permutation_entropy(x: np.ndarray, size: int) -> float:
 
 def lempel_ziv(x: np.ndarray, bins: int) -> float:
     """Distinct phrases of the binned series over its length."""
-    edges = np.linspace(x.min(), x.max(), bins + 1)[1:]
-    symbols = tuple(np.searchsorted(edges, x, side="left"))
-    phrases, start, end = set(), 0, 1
-    while end <= len(symbols):
-        phrase = symbols[start:end]
-        if phrase in phrases:
-            end += 1
-        else:
-            phrases.add(phrase)
-            start, end = end, end + 1
-    return len(phrases) / len(symbols)
+    root: dict = {}
+    node, phrases = root, 0
+    for symbol in np.searchsorted(np.linspace(x.min(), x.max(), bins + 1)[1:], x, side="left").tolist():
+        if symbol in node:
+            node = node[symbol]
+        else:  # a phrase is a known one and a symbol more
+            node[symbol] = {}
+            node, phrases = root, phrases + 1
+    return phrases / len(x)
 
 
 def complexity(x: np.ndarray) -> dict:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import shutil
 import tempfile
@@ -68,14 +69,26 @@ def durable(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def clear_durable(spark: SparkSession) -> None:
-    """Delete the tables of `durable` once no DataFrame built on them is needed."""
+def clear_durable(spark: SparkSession, keep: int = 0) -> None:
+    """Delete the tables of `durable`, but the first `keep`, once no DataFrame built on them is needed."""
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    while _written:
+    while len(_written) > keep:
         path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
         path.getFileSystem(hadoop).delete(path, True)
 
 
+def cleans_up(job):
+    """A job (spark, ...) that writes its results; the tables it made on the way go when it ends."""
+    @functools.wraps(job)
+    def run(spark: SparkSession, *args, **options):
+        before = len(_written)
+        try:
+            return job(spark, *args, **options)
+        finally:
+            clear_durable(spark, before)
+    return run
+
+
 _shipped: set[str] = set()
 
 
