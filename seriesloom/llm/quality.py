@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.functions.columns import q
 
-from .common import picked
+from .common import text_slices
 from .toxicity import held_out, labelled_sample
 from .words import word_hashes
 
@@ -116,9 +116,12 @@ class Machine:
         return self
 
     def score(self, texts: list[str], metadata: np.ndarray) -> np.ndarray:
-        row, col, value, dense = features(texts)
-        z, _ = self.raw(*self.joined(row, col, value, np.hstack([dense, metadata])), len(texts))
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        out = [np.zeros(0)]
+        for a, b in text_slices(texts):
+            row, col, value, dense = features(texts[a:b])
+            z, _ = self.raw(*self.joined(row, col, value, np.hstack([dense, metadata[a:b]])), b - a)
+            out.append(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+        return np.concatenate(out)
 
 
 def _metadata(frame: pd.DataFrame, n: int) -> np.ndarray:
@@ -139,12 +142,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_label:
     n_meta = len(metadata)
 
     def made(batches):
-        for frame in batches:
+        for whole, (a, b) in ((f, s) for f in batches for s in text_slices(f["text"].tolist())):
+            frame = whole.iloc[a:b]
             row, col, value, dense = features(frame["text"].tolist())
             ends = np.searchsorted(row, np.arange(len(frame) + 1))
             dense = np.hstack([dense, _metadata(frame, n_meta)])
             yield pd.DataFrame({
-                "label": frame["label"].astype("int32"),
+                "label": frame["label"].astype("int32").to_numpy(),
                 "cols": [col[a:b].astype("<i4").tobytes() for a, b in zip(ends, ends[1:])],
                 "vals": [value[a:b].astype("<f4").tobytes() for a, b in zip(ends, ends[1:])],
                 "dense": [d.astype("<f8").tobytes() for d in dense]})
