@@ -38,7 +38,7 @@ from .words import mix, word_hashes
 
 WIDTH = 5
 HOT = 256  # a shingle in more than one of so many documents is hot
-RANGE_TOKENS = 4_000_000
+RANGE_TOKENS = 2_000_000
 CHUNK_SETS = 64
 _STEPS = np.random.Generator(np.random.PCG64(11)).integers(1, 2**62, size=64, dtype=np.uint64) | np.uint64(1)
 
