@@ -20,7 +20,7 @@ import re
 import struct
 
 #: Pieces kept per table, and the longest piece worth keeping.
-KEPT_PIECES, KEPT_LENGTH = 800_000, 40
+KEPT_PIECES, KEPT_LENGTH = 250_000, 40
 _SPACE = re.compile(r"(?<=\S) (?=\S)")
 _FINAL = frozenset(",.;:!?")
 BARE = "\ud800"  # no text from Spark holds half a surrogate pair
