@@ -9,7 +9,7 @@ wherever the tokenizer's own split ends a word anyway:
 * in both, between a run of letters and one final `,` `.` `;` `:` `!` or `?`.
 
 Each piece that is new to a task goes through the tokenizers library, a run of
-letters straight to its model. What is kept has a bound: when the table of pieces is
+letters straight to its model. A piece is kept when it comes again, with a bound: when the table of pieces is
 full it becomes the old one, from which pieces in use move on; no result changes.
 """
 
@@ -20,7 +20,8 @@ import re
 import struct
 
 #: Pieces kept per table, and the longest piece worth keeping.
-KEPT_PIECES, KEPT_LENGTH = 250_000, 40
+KEPT_PIECES, KEPT_LENGTH = 350_000, 40
+SEEN_PLACES = 1 << 23  # a byte each, for pieces that came once
 _SPACE = re.compile(r"(?<=\S) (?=\S)")
 _FINAL = frozenset(",.;:!?")
 BARE = "\ud800"  # no text from Spark holds half a surrogate pair
@@ -53,6 +54,7 @@ class PieceTokenizer:
             raise ValueError(f"kind is byte or word, not {kind!r}")
         self.kind, self.model = kind, self.tokenizer.model
         self.known, self.old = {}, {}
+        self.seen, self.marks = bytearray(SEEN_PLACES), 0
         self.normal = self.tokenizer.normalizer.normalize_str if kind == "word" else None
         # The byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on.
         plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
@@ -85,10 +87,24 @@ class PieceTokenizer:
             made = self._make({p for p, i in zip(pieces, found) if i is None})
             if len(self.known) + len(made) > KEPT_PIECES:
                 self.old, self.known = self.known, {}
-            self.known.update((p, i) for p, i in made.items() if len(p) <= KEPT_LENGTH)
+            self._keep(made)
             found = [made[p] if i is None else i for p, i in zip(pieces, found)]
         return found
 
+    def _keep(self, made: dict[str, bytes]) -> None:
+        """Keep what comes for the second time; most pieces never do."""
+        seen, mask = self.seen, len(self.seen) - 1
+        for p, ids in made.items():
+            place = hash(p) & mask
+            if seen[place]:
+                if len(p) <= KEPT_LENGTH:
+                    self.known[p] = ids
+            else:
+                seen[place] = 1
+                self.marks += 1
+        if self.marks > len(seen) // 2:
+            self.seen, self.marks = bytearray(len(seen)), 0
+
     def _make(self, pieces: set[str]) -> dict[str, bytes]:
         made, mixed, known, old, finals = {}, [], self.known, self.old, self.finals
         for p in pieces:
