@@ -34,7 +34,7 @@ from .tokens import shared_tokenizer
 
 SCALE = 18
 LOW = 1 << 31  # states stay in [LOW, LOW << 32)
-LANES, CHECK, BLOCK_IDS = 1024, 256, 1 << 19
+LANES, CHECK, BLOCK_IDS = 2048, 128, 1 << 19
 RANGE_DOCS = 4000
 _HEAD = struct.Struct("<4sIQQIIIIII")  # magic, lanes, ids, start, documents, words, checkpoints, body size, two sums
 MAGIC = b"RIDS"
@@ -50,7 +50,15 @@ class Table:
     def __post_init__(self):
         self.begin = np.concatenate([[0], np.cumsum(self.freq)[:-1]]).astype(np.uint64)
         self.freq = self.freq.astype(np.uint64)
-        self._slots = None
+        self._slots = self._numbers = None
+
+    @property
+    def numbers(self) -> np.ndarray:
+        """The place of each symbol, by symbol."""
+        if self._numbers is None:
+            self._numbers = np.zeros(int(self.symbols.max(initial=0)) + 1, dtype=np.int32)
+            self._numbers[self.symbols] = np.arange(len(self.symbols))
+        return self._numbers
 
     @property
     def slots(self) -> np.ndarray:
@@ -77,7 +85,7 @@ class Table:
 
 def encode(ids: np.ndarray, table: Table, lanes: int) -> tuple[np.ndarray, np.ndarray, list]:
     """(final states, words, checkpoints); a checkpoint is (step, place in the words, states)."""
-    number = np.searchsorted(table.symbols, ids)
+    number = table.numbers[ids]
     freq, begin = table.freq[number], table.begin[number]
     steps = -(-len(ids) // lanes)
     state = np.full(lanes, LOW, dtype=np.uint64)
@@ -198,7 +206,7 @@ def _tokenised(batches, vocabulary, kind, end_id, bounds):
                 parts = (names[own].astype("<i8").tobytes(), none[own].astype("u1").tobytes(),
                          np.array([len(ids[i]) // 4 for i in own], "<u4").tobytes(), data.astype(wide).tobytes())
                 rows.append((int(p), len(own), len(data), wide == "<u4",
-                             zstandard.compress(b"".join(parts), 3)))
+                             zstandard.compress(b"".join(parts), 1)))
             yield pd.DataFrame(rows, columns=["part", "docs", "n", "wide", "packed"])
 
 
