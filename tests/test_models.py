@@ -210,6 +210,40 @@ def test_ward_is_one_path_for_any_number_of_rows(spark, n):
     assert heights == sorted(heights)
 
 
+def spread(x, labels):
+    return sum(((x[list(g)] - x[list(g)].mean(axis=0)) ** 2).sum() for g in partition(labels))
+
+
+def test_ward_on_cells_against_exact_ward(spark):
+    """No blobs, some copies and a far pair that is smaller than a cell."""
+    x = np.random.default_rng(11).normal(size=(240, 3))
+    x[200:220] = x[0]
+    x[-2:] = [[40.0, 0.0, 0.0], [40.5, 0.0, 0.0]]
+    exact = ward.ward_merges(x, np.ones(len(x)))
+    tree = ward.ward_tree(frame(spark, x), micro=240)
+    assert tree.leaves == 220
+    got = tree.last_merges(219).orderBy("step").collect()
+    assert np.allclose([r["height"] for r in got], [m[2] for m in exact[20:]])
+    assert [r["rows"] for r in got] == [m[3] for m in exact[20:]]
+    coarse = ward.ward_tree(frame(spark, x), micro=80)
+    for k in (2, 4, 6):
+        want = dict(enumerate(ward.cut(exact, len(x), k)))
+        labels = {r["sku_key"]: r["cluster"] for r in tree.assigned(k).collect()}
+        assert partition(labels) == partition(want)
+        labels = {r["sku_key"]: r["cluster"] for r in coarse.assigned(k).collect()}
+        assert frozenset({238, 239}) in partition(labels)
+        assert spread(x, labels) < 1.15 * spread(x, want)
+
+
+def test_registered_ward_merges_every_row(spark):
+    import __spark_entry__ as entry
+    x = np.array([r["embedding"] for r in spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").collect()])
+    exact = ward.ward_merges(x.astype(float), np.ones(len(x)))[-18:]
+    got = entry.queries()["ward_last_merges"](spark, "/root/testdata/sf0.001").orderBy("step").collect()
+    assert np.allclose([r["height"] for r in got], [m[2] for m in exact])
+    assert [r["rows"] for r in got] == [m[3] for m in exact]
+
+
 @pytest.mark.parametrize("df", [5, 40, 24_999, 25_001, 1e7])
 def test_studentized_range_is_one_formula(df):
     # two means: Q / sqrt(2) is a t statistic, so the tail is a two-sided p of t
