@@ -120,6 +120,26 @@ def test_fuzzy_and_spectral(spark):
         embed.embed(df, 2, "other")
 
 
+@pytest.mark.parametrize("kind", ["path", "groups"])
+def test_spectral_layout_with_a_narrow_gap(spark, kind):
+    """Against a dense solver: a path, and three groups that hang together by weak edges."""
+    if kind == "path":
+        edges = [(i, i + 1, 1.0) for i in range(23)]
+    else:
+        edges = [(g + i, g + j, 1.0 + (i * j) % 3) for g in (0, 12, 24) for i in range(12) for j in range(i)]
+        edges = [(min(e[:2]), max(e[:2]), e[2]) for e in edges] + [(3, 15, 0.05), (16, 30, 0.06)]
+    n = max(e[1] for e in edges) + 1
+    w = np.zeros((n, n))
+    for a, b, v in edges:
+        w[a, b] = w[b, a] = v
+    deg = w.sum(axis=1)
+    vectors = np.linalg.eigh(w / np.sqrt(np.outer(deg, deg)))[1][:, [-2, -3]]
+    found = embed.spectral_layout(spark.createDataFrame(edges, "a bigint, b bigint, weight double"), 2)
+    got = np.array([r["vec"] for r in found.orderBy("id").collect()])
+    assert np.allclose((got ** 2).sum(axis=0), 1)
+    assert np.all(np.abs((got * vectors).sum(axis=0)) > 1 - 1e-5)
+
+
 def test_pca(spark):
     x = blobs(60)
     got = np.array([r["vec"] for r in embed.embed(frame(spark, x), 2).orderBy("sku_key").collect()])
