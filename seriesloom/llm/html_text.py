@@ -2,7 +2,8 @@
 
 Each page becomes a tree of elements. Elements that are never content (scripts, styles,
 navigation, forms, elements classed as adverts, notices, comments and the like) are cut
-first. For every node i that is left
+first, but none by its class that contains `main` or `article` or most of the body's plain
+characters. For every node i that is left
 
     density(i) = C/T * log(C/LC * T/LT) / log(ln(C/(C-LC) * LC + LCb/Cb * C + e))
 
@@ -45,15 +46,17 @@ NOISE = frozenset("ad ads advert adverts advertisement advertising banner breadc
                   "modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall "
                   "popup promo promotion recommended related replies responses search share sharing shoutbox sidebar "
                   "signup skip social sponsor sponsored subscribe subscription tags toolbar topbar widget".split())
+# With one of these a class says how the page is set up, not what the element is.
+STATES = frozenset("has with without no not disable disabled enable enabled overflow".split())
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "noise", "chars", "tags", "link_chars", "link_tags", "density",
+    __slots__ = ("tag", "parent", "children", "noise", "marked", "chars", "tags", "link_chars", "link_tags", "density",
                  "total", "first", "last")
 
-    def __init__(self, tag: str, parent: "Node | None", noise: bool):
-        self.tag, self.parent, self.noise = tag, parent, noise
+    def __init__(self, tag: str, parent: "Node | None", noise: bool, marked: bool = False):
+        self.tag, self.parent, self.noise, self.marked = tag, parent, noise, marked
         self.children: list = []  # nodes and texts in page order
 
 
@@ -84,7 +87,7 @@ class _Tree(HTMLParser):
         if tag in SAME_ENDS:
             self._close(SAME_ENDS[tag], STOPS[tag])
         inside = any(n.tag in ("article", "main") for n in self.open)
-        node = Node(tag, self.open[-1], _is_noise(tag, attrs, inside))
+        node = Node(tag, self.open[-1], _is_noise(tag, attrs, inside), _is_marked(attrs))
         self.open[-1].children.append(node)
         if tag not in VOID:
             self.open.append(node)
@@ -101,23 +104,45 @@ class _Tree(HTMLParser):
 
 
 def _is_noise(tag: str, attrs, inside_article: bool) -> bool:
-    if tag in NEVER or (tag == "header" and not inside_article):
+    if (tag in NEVER and tag != "form") or (tag == "header" and not inside_article):
         return True
     if tag in ("html", "body", "main", "article"):
         return False
+    return any(name == "hidden" or (name == "aria-hidden" and value == "true")
+               or (name == "style" and value and "display:none" in value.replace(" ", "").lower())
+               for name, value in attrs)
+
+
+def _is_marked(attrs) -> bool:
+    """Whether a class, id or role names what is not the article."""
     for name, value in attrs:
         if name in ("class", "id", "role") and value:
             for word in value.split():
                 parts = [p.lower() for p in _PART.findall(word)]
-                if any(p in NOISE for p in parts):
+                if not STATES.intersection(parts) and any(p in NOISE for p in parts):
                     return True
-        elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
-        elif name == "style" and value and "display:none" in value.replace(" ", "").lower():
-            return True
     return False
 
 
+def _cut_marked(root: Node, body: Node) -> None:
+    """Cuts marked elements and forms, but those that hold the article: a `main` or `article`
+    that is not marked itself, or most of the body's plain characters, unless such a `main`
+    or `article` beside it has a tenth of its own (an article with many comments)."""
+    nodes = _in_order(root)
+    plain, articles, holds = {}, {}, {}
+    for node in reversed(nodes):
+        inner = [c for c in node.children if isinstance(c, Node) and not c.noise]
+        named = node.tag in ("main", "article") and not node.marked
+        plain[node] = 0 if node.tag == "a" else sum(plain[c] for c in inner) + sum(
+            len("".join(c.split())) for c in node.children if isinstance(c, str))
+        holds[node] = named or any(holds[c] for c in inner)
+        articles[node] = plain[node] if named else sum(articles[c] for c in inner)
+    for node in nodes:
+        if (node.marked or node.tag == "form") and node.tag not in ("html", "body", "main", "article") and node is not root:
+            most = 2 * plain[node] > plain[body] and 10 * (articles[body] - articles[node]) < plain[node]
+            node.noise = not (holds[node] or most)
+
+
 def parse(html: str) -> Node:
     tree = _Tree()
     tree.feed(html)
@@ -233,8 +258,9 @@ def main_text(html: str | None) -> str:
     if not html or not html.strip():
         return ""
     root = parse(html)
+    body = next((n for n in _in_order(root) if n.tag == "body"), root)
+    _cut_marked(root, body)
     nodes = _in_order(root)
-    body = next((n for n in nodes if n.tag == "body"), root)
     _weigh(nodes, body)
     return "\n".join(blocks(_choose(nodes, body)))
 

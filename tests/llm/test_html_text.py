@@ -30,6 +30,29 @@ def test_pages(page, text):
     assert ht.main_text(page) == text
 
 
+WRAPPED = "<div class='sidebar'><p>side</p></div><div><h1>T</h1><p>{0}</p><p>{0} end</p></div>".format(LONG)
+WANT = f"T\n{LONG}\n{LONG} end"
+
+
+@pytest.mark.parametrize("mark", ["class='layout has-sidebar'", "class='page with-header'", "class='no-ads'", "id='search-page'",
+                                  "class='post social-share-enabled'", "class='menuEnabled overflow-hidden'"])
+def test_wrappers_of_the_article_stay(mark):
+    assert ht.main_text(f"<body><div {mark}>{WRAPPED}</div><div class=comments><p>{LONG}</p></div>") == WANT
+    article = WRAPPED.replace("<div><h1>", "<article><h1>").replace("end</p></div>", "end</p></article>")
+    assert ht.main_text(f"<body><div {mark}>{article}</div><div class=comments><p>{LONG * 3}</p></div>") == WANT
+    assert ht.main_text(f"<body><form {mark}>{article}</form><div class=share>{LONG}</div>") == WANT
+
+
+def test_state_words_do_not_cut_a_part():
+    page = f"<body><div><p>{LONG}</p><p>{LONG}</p></div><div class='no-ads'><p>{LONG}</p><p>{LONG} end</p></div>"
+    assert ht.main_text(page) == f"{LONG}\n{LONG}\n{LONG}\n{LONG} end"
+
+
+def test_comments_of_an_article_are_cut():
+    notes = "".join(f"<article class='comment-body'><p>{LONG} {i}</p></article>" for i in range(6))
+    assert ht.main_text(f"<body><article><h1>T</h1><p>{LONG}</p></article><div class=comments>{notes}</div>") == f"T\n{LONG}"
+
+
 def test_given_pages_equal_their_articles(spark):
     """The given pages mark their text as an article; its blocks are cut out by hand here."""
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
