@@ -8,7 +8,7 @@ from seriesloom.functions.columns import snap
 from seriesloom.operators import prep, ranking
 from seriesloom.plans.binding import table, transactions
 
-from . import register
+from . import ORACLES, register
 from .views import (FIRST_LABELS, LABELS, ORDER, STORES, TX, YEAR_PIVOT, cells, cells_sql, days,
                     days_sql, snap_sql, year_pivot)
 
@@ -143,6 +143,21 @@ def series_filled(spark, sf_dir):
     return _as_text(prep.series(cells(spark, sf_dir), fill=True))
 
 
+# the same over daily cells, the grain of the original pivot
+def _halves(c, part):
+    return prep.split_on_start(c, prep.start_flags(c), part)
+
+
+for _name, _build in {
+        "pivot_cells": lambda c: c, "null_counts": prep.null_counts, "below_half_coverage": prep.below_half_coverage,
+        "start_flags": prep.start_flags, "pivot_started_inside": lambda c: _halves(c, "nan"),
+        "pivot_started_before": lambda c: _halves(c, "no_nans"), "coverage_map": prep.coverage_map,
+        "series_ragged": lambda c: _as_text(prep.series(c)),
+        "series_filled": lambda c: _as_text(prep.series(c, fill=True))}.items():
+    register(f"{_name}_daily", ORACLES[_name].replace(cells_sql(), cells_sql("day")))(
+        lambda spark, sf_dir, build=_build: build(cells(spark, sf_dir, "day")))
+
+
 def _as_text(s):
     whole = F.transform("series", lambda v: v.cast("bigint").cast("string"))
     return s.select("sku_key", F.array_join(whole, ",").alias("series"))

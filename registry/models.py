@@ -181,9 +181,9 @@ def som_clusters(spark, sf_dir):
 def som_product_clusters(spark, sf_dir):
     """The winning model on product features: complete columns, scaled, map, k-means."""
     table_ = durable(scale.complete_columns(feat.extract_features(
-        days(spark, sf_dir), "sales", ["moments", "shape", "counts", "changes"])))
+        days(spark, sf_dir), "sales")))
     v = vectors.to_vectors(table_, [c for c in table_.columns if c != "sku_key"])
-    model = som.train_som(v, 15, 15, rough=10, fine=10)
+    model = som.train_som(v, 15, 15)
     return som.assign_clusters(som.best_units(v, model), som.cluster_nodes(model, spark, 4))
 
 
@@ -209,7 +209,7 @@ def kmeans_clusters(spark, sf_dir):
 
 @register("kmeans_elbow")
 def kmeans_elbow(spark, sf_dir):
-    return kmeans.elbow(_vectors(spark, sf_dir), 8, key="vec_id")
+    return kmeans.elbow(_vectors(spark, sf_dir), key="vec_id")
 
 
 # ------------------------------------------------------------------ silhouettes
@@ -260,7 +260,7 @@ def silhouette_bands(spark, sf_dir):
 
 @register("silhouette_by_k")
 def silhouette_by_k(spark, sf_dir):
-    return quality.silhouette_by_k(_vectors(spark, sf_dir), ks=range(2, 5), key="vec_id")
+    return quality.silhouette_by_k(_vectors(spark, sf_dir), n_init=10, key="vec_id")
 
 
 # --------------------------------------------------------- neighbours, embedding
@@ -333,23 +333,23 @@ def density_clusters(spark, sf_dir):
 
 # ------------------------------------------------------------------ time warping
 
-def _year_series(spark, sf_dir, fill=False):
-    return prep.series(cells(spark, sf_dir, "year"), fill=fill)
+def _day_series(spark, sf_dir, fill=False):
+    return prep.series(cells(spark, sf_dir, "day"), fill=fill)
 
 
 @register("dtw_pairs")
 def dtw_pairs(spark, sf_dir):
-    return dtw.dtw_pairs(_year_series(spark, sf_dir, fill=True), 40.0)
+    return dtw.dtw_pairs(_day_series(spark, sf_dir, fill=True), 40.0)
 
 
 @register("dtw_clusters")
 def dtw_clusters(spark, sf_dir):
-    return dtw.dtw_clusters(_year_series(spark, sf_dir, fill=True), 40.0)
+    return dtw.dtw_clusters(_day_series(spark, sf_dir, fill=True), 40.0)
 
 
 @register("dtw_medoids")
 def dtw_medoids(spark, sf_dir):
-    return dtw.dtw_medoids(_year_series(spark, sf_dir, fill=True), 4)
+    return dtw.dtw_medoids(_day_series(spark, sf_dir, fill=True), 4)
 
 
 # ------------------------------------------------------------------- supervised
@@ -357,10 +357,10 @@ def dtw_medoids(spark, sf_dir):
 @register("forest_importances")
 def forest_importances(spark, sf_dir):
     d = days(spark, sf_dir)
-    table_ = feat.extract_features(d, "sales", ["moments", "changes"]).na.fill(0.0).join(bands(d), "sku_key")
+    table_ = feat.extract_features(d, "sales").na.fill(0.0).join(bands(d), "sku_key")
     names = [c for c in table_.columns if c not in ("sku_key", "cluster")]
     scaled = durable(scale.scale(table_, names, "minmax"))
-    return supervised.feature_importance(scaled, names, trees=20)[0]
+    return supervised.feature_importance(scaled, names)[0]
 
 
 @register("forest_predictions")

@@ -1,4 +1,5 @@
 import glob
+import inspect
 import os
 
 import duckdb
@@ -28,3 +29,27 @@ def test_matches_sql(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     rel = duck.sql(ORACLES[name])
     assert rows_of(df.columns, df.collect()) == rows_of(rel.columns, rel.fetchall())
+
+
+def test_registered_models_run_over_their_full_ranges(spark, monkeypatch):
+    from registry import models
+    seen = {}
+
+    def note(module, name, returns=None):
+        real = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, **k: seen.__setitem__(
+            name, inspect.signature(real).bind(*a, **k)) or returns)
+        return real
+    monkeypatch.setattr(models, "_vectors", lambda *a: None)
+    for module, name in ((models.kmeans, "elbow"), (models.quality, "silhouette_by_k"), (models.dtw, "dtw_pairs")):
+        note(module, name)
+    note(models.prep, "series")
+    monkeypatch.setattr(models, "cells", lambda spark, sf, grain: seen.__setitem__("grain", grain))
+    for name in ("kmeans_elbow", "silhouette_by_k", "dtw_pairs"):
+        entry.queries()[name](spark, None)
+    for bound in seen.values():
+        if not isinstance(bound, str):
+            bound.apply_defaults()
+    assert seen["elbow"].arguments["k_range"] == 20 and seen["grain"] == "day"
+    assert list(seen["silhouette_by_k"].arguments["ks"]) == list(range(2, 11))
+    assert seen["silhouette_by_k"].arguments["n_init"] == 10
