@@ -16,7 +16,7 @@ def register(name: str, sql: str | None = None):
 
 
 from .common import table  # noqa: E402
-from . import chat_format, exact_dedup, html_text, mixing, ngram_join, packing, permutation_index, quality, token_files, toxicity  # noqa: E402
+from . import chat_format, exact_dedup, html_text, mixing, ngram_join, packing, permutation_index, quality, source_divergence, token_files, toxicity  # noqa: E402
 from .tokens import read_vocabulary  # noqa: E402
 
 
@@ -88,3 +88,36 @@ def op8_token_files(spark, sf_dir):
 @register("op5_permutation_index")
 def op5_permutation_index(spark, sf_dir):
     return permutation_index.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0)
+
+
+@register("op13_source_divergence", r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+           FROM documents),
+     w AS (SELECT id, lang, source, unnest(terms) AS term FROM d),
+     c AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY ALL),
+     k AS (SELECT lang, term, count(*) AS total FROM w GROUP BY ALL HAVING count(DISTINCT id) >= 3),
+     g AS (SELECT DISTINCT lang, source FROM d),
+     v AS (SELECT lang, count(*)::HUGEINT AS v, sum(total)::HUGEINT AS n FROM k GROUP BY lang),
+     cells AS (SELECT g.lang, g.source, k.term, k.total, coalesce(c.n, 0)::HUGEINT AS n
+               FROM g JOIN k ON g.lang = k.lang
+               LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+     s AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM cells GROUP BY ALL),
+     p AS (SELECT cells.lang, cells.source, term, cells.n,
+                  1 + (1000000000::HUGEINT * (cells.n + 1)) // (s.total + v.v) AS p,
+                  1 + (1000000000::HUGEINT * (cells.total + 1)) // (v.n + v.v) AS q
+           FROM cells JOIN s ON s.lang = cells.lang AND s.source = cells.source JOIN v ON v.lang = cells.lang),
+     pairs AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+               FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+     found AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pairs.value, 0) AS value
+               FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+               LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+               UNION ALL
+               SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM p WHERE n > 0 AND p > q),
+     ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+                FROM found)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 200""")
+def op13_source_divergence(spark, sf_dir):
+    return source_divergence.divergence_audit(table(spark, sf_dir, "documents"))
