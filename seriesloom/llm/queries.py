@@ -16,7 +16,7 @@ def register(name: str, sql: str | None = None):
 
 
 from .common import table  # noqa: E402
-from . import chat_format, exact_dedup, html_text, mixing, ngram_join, packing, permutation_index, quality, source_divergence, token_files, toxicity  # noqa: E402
+from . import chat_format, circulant_minhash, exact_dedup, html_text, mixing, ngram_join, packing, permutation_index, quality, source_divergence, token_files, toxicity  # noqa: E402
 from .tokens import read_vocabulary  # noqa: E402
 
 
@@ -121,3 +121,24 @@ SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
 FROM ranked WHERE part = 'pair' OR rank <= 200""")
 def op13_source_divergence(spark, sf_dir):
     return source_divergence.divergence_audit(table(spark, sf_dir, "documents"))
+
+
+@register("op12_circulant_minhash", r"""
+WITH RECURSIVE
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+             ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS shingles
+      FROM d),
+one AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s),
+rare AS (SELECT shingle FROM one GROUP BY shingle HAVING count(*) > 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM one a JOIN rare USING (shingle) JOIN one b USING (shingle)
+      WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n
+      HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (SELECT doc_id AS id, doc_id AS other FROM s
+          UNION SELECT reach.id, p.b FROM reach JOIN p ON p.a = reach.other),
+c AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+SELECT s.doc_id, len(shingles)::BIGINT AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
+FROM s JOIN c ON c.id = s.doc_id""")
+def op12_circulant_minhash(spark, sf_dir):
+    return circulant_minhash.near_duplicates(table(spark, sf_dir, "documents"))
