@@ -16,7 +16,7 @@ def register(name: str, sql: str | None = None):
 
 
 from .common import table  # noqa: E402
-from . import chat_format, circulant_minhash, exact_dedup, html_text, mixing, ngram_join, packing, permutation_index, quality, source_divergence, token_files, toxicity  # noqa: E402
+from . import chat_format, circulant_minhash, cover_tree, exact_dedup, html_text, mixing, ngram_join, packing, permutation_index, quality, source_divergence, token_files, toxicity  # noqa: E402
 from .tokens import read_vocabulary  # noqa: E402
 
 
@@ -142,3 +142,25 @@ SELECT s.doc_id, len(shingles)::BIGINT AS n_shingles, c.component_id, s.doc_id =
 FROM s JOIN c ON c.id = s.doc_id""")
 def op12_circulant_minhash(spark, sf_dir):
     return circulant_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op11_hard_negatives", """
+WITH r AS (SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END)::BIGINT AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+                  list_inner_product(a.v, b.v)::BIGINT AS score
+           FROM r a JOIN r b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+     p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+           QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.positive_id, row_number() OVER w::INTEGER AS rank, s.id AS negative_id,
+       p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+              AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id)
+QUALIFY row_number() OVER w <= 10""")
+def op11_hard_negatives(spark, sf_dir):
+    return cover_tree.hard_negatives(table(spark, sf_dir, "embeddings"),
+                                     lambda i: i % 100 == 0, lambda i: i % 7 == 0)
