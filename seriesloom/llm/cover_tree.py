@@ -15,9 +15,9 @@ a positive's. Both are searches for the largest inner products, exact ones:
   its rows until they cover it at half its radius or there are FAN of them, and every row
   follows its nearest centre. Each node keeps its exact covering radius, its smallest id,
   and its label if it has just one.
-* **Descent.** Best bound first. A node is left if its bounds lie outside all windows, if it
-  cannot beat the worst result so far (ties by id), or if its label is of no use. The rows of
-  leaves are compared in whole numbers.
+* **Descent.** Level by level to the leaves, then best bound first, in growing steps. A node is left
+  if its bounds lie outside all windows, if it cannot beat the worst result so far (ties by
+  id), or if its label is of no use. The rows of leaves are compared in whole numbers.
 * **Two passes.** An anchor first searches the shard it lives in; the thresholds found there
   spare it the cells that cannot beat them.
 """
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import heapq
 import pickle
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -109,6 +110,11 @@ class CoverTree:
         lowest = np.array([self.labels[a:b].min() for a, b in self.bounds])
         highest = np.array([self.labels[a:b].max() for a, b in self.bounds])
         self.label, self.one_label = lowest, lowest == highest
+        self.largest = float(np.abs(v).max(initial=0))
+
+    @cached_property
+    def doubles(self) -> np.ndarray:
+        return self.v.astype(np.float64)
 
     def node_bounds(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Least and largest whole inner product that each node's rows can have with each query."""
@@ -120,15 +126,14 @@ class CoverTree:
         spread = norm[:, None] * self.radius[None, :] * (1 + 1e-9) + slack
         return np.ceil(middle - spread), np.floor(middle + spread)
 
-    def products(self, start: int, end: int, query: np.ndarray) -> np.ndarray:
-        """Inner products of the rows with the query, exactly."""
-        v = self.v[start:end]
-        most = float(np.abs(v).max(initial=0)) * float(np.abs(query).max(initial=0)) * max(1, len(query))
+    def exactly(self, query: np.ndarray):
+        """The rows, in numbers whose products with the query are exact."""
+        most = self.largest * float(np.abs(query).max(initial=0)) * max(1, len(query))
         if most < 2**53:
-            return (v.astype(np.float64) @ query.astype(np.float64)).astype(np.int64)
+            return self.doubles, query.astype(np.float64)
         if most < 2**62:
-            return v.astype(np.int64) @ query.astype(np.int64)
-        return np.array([sum(int(a) * int(b) for a, b in zip(row, query)) for row in v], dtype=np.int64)
+            return self.v.astype(np.int64), query
+        return self.v.astype(object), query.astype(object)
 
     def search(self, queries: list["Query"]) -> list[tuple]:
         """(query, window, id, key, score) of the best rows in each window of each query."""
@@ -140,35 +145,44 @@ class CoverTree:
         worst = [(-w.score, w.id) if w.id is not None else (_FAR, 0) for w in query.windows]
         of_use = ~self.one_label | ((self.label == query.label) == query.same)
 
-        def wanted(node: int) -> bool:
-            return bool(of_use[node]) and any(
-                high[node] >= w.lo and low[node] <= w.hi
-                and (-min(high[node], w.hi), self.least_id[node]) <= worst[i] for i, w in enumerate(query.windows))
-
-        queue = [(-high[0], 0)]
-        while queue:
-            _, node = heapq.heappop(queue)
-            if not wanted(node):
-                continue
-            first, last = self.children[node]
-            if last > first:
-                for child in range(first, last):
-                    if wanted(child):
-                        heapq.heappush(queue, (-high[child], child))
-                continue
-            start, end = self.bounds[node]
-            score = self.products(start, end, query.v)
-            use = (self.labels[start:end] == query.label) == query.same
-            use &= self.keys[start:end] != query.key
+        def wanted(nodes: np.ndarray) -> np.ndarray:
+            """Those that can hold a better row of some window."""
+            use = np.zeros(len(nodes), dtype=bool)
+            for w, (score, least) in zip(query.windows, worst):
+                top = np.minimum(high[nodes], w.hi)
+                use |= (high[nodes] >= w.lo) & (low[nodes] <= w.hi) & (
+                    (top > -score) | ((top == -score) & (self.least_id[nodes] <= least)))
+            return nodes[use & of_use[nodes]]
+
+        v, q = self.exactly(query.v)
+        open_nodes, leaves = wanted(np.zeros(1, dtype=np.int64)), []
+        while len(open_nodes):  # level by level down to the leaves
+            inner = self.children[open_nodes, 1] > self.children[open_nodes, 0]
+            leaves.append(open_nodes[~inner])
+            spans = self.children[open_nodes[inner]]
+            open_nodes = wanted(np.concatenate([np.arange(a, b) for a, b in spans] + [np.zeros(0, np.int64)]).astype(int))
+        leaves = np.concatenate(leaves + [np.zeros(0, np.int64)]).astype(int)
+        leaves = leaves[np.argsort(-high[leaves], kind="stable")]  # best bound first
+        step = 2
+        while len(leaves):
+            now, leaves = leaves[:step], leaves[step:]
+            rows = np.concatenate([np.arange(a, b) for a, b in self.bounds[now]])
+            use = ((self.labels[rows] == query.label) == query.same) & (self.keys[rows] != query.key)
+            rows = rows[use]
+            score = (v[rows] @ q if len(rows) * 4 < len(v) else (v @ q)[rows]).astype(np.int64)
             for i, w in enumerate(query.windows):
-                fits = np.flatnonzero(use & (score >= w.lo) & (score <= w.hi) & (score >= -worst[i][0]))
+                fits = np.flatnonzero((score >= max(w.lo, -worst[i][0])) & (score <= w.hi))
+                if len(fits) > 4 * query.k:  # scores below the k-th need no sorting
+                    fits = fits[score[fits] >= np.partition(score[fits], -query.k)[-query.k]]
                 if not len(fits):
                     continue
-                found = list(zip((-score[fits]).tolist(), self.ids[start:end][fits].tolist(),
-                                 self.keys[start:end][fits].tolist()))
+                at = rows[fits]
+                first = np.lexsort((self.keys[at], self.ids[at], -score[fits]))[:query.k]
+                found = list(zip((-score[fits][first]).tolist(), self.ids[at][first].tolist(), self.keys[at][first].tolist()))
                 best[i] = heapq.nsmallest(query.k, best[i] + [f for f in found if f[:2] <= worst[i]])
                 if len(best[i]) == query.k:
                     worst[i] = min(worst[i], best[i][-1][:2])
+            leaves, step = wanted(leaves), 2 * step
         return [(query.key, i, id_, key, -score) for i, rows in enumerate(best) for score, id_, key in rows]
 
 
