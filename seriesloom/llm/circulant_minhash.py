@@ -8,10 +8,13 @@ permutation of the shingles and one function, and nothing is stored for a coordi
 1. The distinct `width`-word shingles of each text; equal sets are one set from here on.
 2. BANDS bands of ROWS coordinates each. Sets alike in a band are candidates: at the
    similarity of 0.85 a pair is missed by all bands with a chance of (1 - 0.85^6)^40 < 10^-8.
-3. Candidates meet in groups of bounded size, where each is compared with each on its full
-   set of shingles, first under a few of their bands only. Bands that still join
-   different components then offer groups again, and at last all pairs that are left.
-4. Components of the verified links.
+3. Every set with a candidate lies in one block: that of the most frequent band near it, cut by hash
+   into blocks of about BLOCK_SHINGLES shingles. A block's sets are compared with each other on their
+   full sets of shingles; those connected already are not compared again.
+4. Bands that still join different components name the pairs of blocks left to compare. So a group
+   of m sets ships each set once per block of the group: no pair of sets is ever a row, but
+   for those that are linked.
+5. Components of the verified links.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from .ngram_join import fingerprint, shingle_sets
 WIDTH = 3
 SIMILAR = 85  # 100 * intersection >= 85 * union
 BANDS, ROWS = 40, 6
-GROUP_SETS, GROUP_SHINGLES = 64, 1_000_000  # of a group whose sets are compared with each other
+BLOCK_SHINGLES = 1 << 18  # of the sets compared with each other in one task
 PIECE = 1 << 16  # shingles permuted together
 
 
@@ -109,10 +112,8 @@ def _measured(batches, width):
 def _posted(batches):
     for frame in batches:
         keys = [np.frombuffer(k, "<i8") for k in frame["bands"]]
-        times = [len(k) for k in keys]
         yield pd.DataFrame({"band": np.concatenate([*keys, np.zeros(0, np.int64)]),
-                            "set": np.repeat(frame["set"].to_numpy(), times),
-                            "n": np.repeat(frame["n"].to_numpy(), times)})
+                            "set": np.repeat(frame["set"].to_numpy(), [len(k) for k in keys])})
 
 
 def _shingled(batches, width):
@@ -126,135 +127,113 @@ def _shingled(batches, width):
                                 "shingles": [sets[i].tobytes() for i in own]})
 
 
-# -- groups ---------------------------------------------------------------------------------------
-
-def meetings(postings: DataFrame, rounds: range) -> DataFrame:
-    """(`band`, `part`, `set`): for each round the band of smallest hash that a set has, with the
-    sets that pick it too, in parts of bounded size."""
-    picks = [F.min_by("band", F.xxhash64("band", F.lit(r))).alias(f"b{r}") for r in rounds]
-    chosen = postings.groupBy("set").agg(F.first("n").alias("n"), *picks).select(
-        "set", "n", F.explode(F.array_distinct(F.array(*[f"b{r}" for r in rounds]))).alias("band"))
-    return in_parts(durable(chosen))
-
-
-def in_parts(chosen: DataFrame) -> DataFrame:
-    """Groups of one band in parts of about GROUP_SETS sets and GROUP_SHINGLES shingles."""
-    many = chosen.groupBy("band").agg(F.count(F.lit(1)).alias("many"), F.sum("n").alias("total")).where("many > 1")
-    parts = F.greatest(F.ceil(F.col("many") / GROUP_SETS), F.ceil(F.col("total") / GROUP_SHINGLES)).cast("bigint")
-    return chosen.join(many, "band").select(
-        "band", F.pmod(F.xxhash64("set", "band"), parts).cast("int").alias("part"), "set")
-
-
-def open_postings(postings: DataFrame, component: DataFrame) -> DataFrame:
-    """The postings, with `component`, of bands that join different components."""
-    named = durable(postings.join(component.select(F.col("id").alias("set"), "component"), "set"))
+# -- blocks ---------------------------------------------------------------------------------------
+
+def blocks_of(postings: DataFrame, sizes: DataFrame, hops: int = 2) -> DataFrame:
+    """(`set`, `n`, `block`): blocks of the most frequent band that a set reaches in so many hops over
+    shared bands. So the sets of a dense group lie together even if no band holds them all."""
+    labels = postings.groupBy("set").agg(F.max(F.struct("many", "band")).alias("most"))
+    for _ in range(hops):
+        held = postings.select("band", "set").join(labels, "set")
+        of_band = held.groupBy("band").agg(F.max("most").alias("most"))
+        labels = durable(postings.select("band", "set").join(of_band, "band").groupBy("set").agg(
+            F.max("most").alias("most")))
+    labels = durable(labels.select("set", F.col("most.band").alias("label")).join(sizes, "set"))
+    parts = labels.groupBy("label").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("bigint").alias("parts"))
+    part = F.pmod(F.xxhash64("set", "label"), F.col("parts"))
+    return labels.join(parts, "label").select("set", "n", F.xxhash64("label", part).alias("block"))
+
+
+def block_pairs(postings: DataFrame, blocks: DataFrame, component: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The pairs (`one`, `two`) of blocks that share a band which joins different components, and
+    (`block`, `set`, `n`, `component`) of the sets in such bands."""
+    placed = blocks.join(component.select(F.col("id").alias("set"), "component"), "set")
+    named = durable(postings.select("band", "set").join(placed, "set"))
     still = named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    return durable(named.join(still.select("band"), "band", "left_semi"))
-
+    opened = durable(named.join(still.select("band"), "band", "left_semi"))
+    held = opened.groupBy("band", "block").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("n").alias("least"), F.max("n").alias("most"))
+    other = held.select("band", *[F.col(c).alias(f"o_{c}") for c in held.columns if c != "band"])
+    met = held.join(other, "band").where(
+        "block < o_block AND NOT (lo = hi AND o_lo = o_hi AND lo = o_lo)").where(
+        (100 * F.col("most") >= SIMILAR * F.col("o_least")) & (100 * F.col("o_most") >= SIMILAR * F.col("least")))
+    pairs = met.select(F.col("block").alias("one"), F.col("o_block").alias("two")).distinct()
+    return pairs, opened.select("block", "set", "n", "component").distinct()
 
-def left_pairs(still: DataFrame) -> DataFrame:
-    """Pairs (`a`, `b`) of different components in one band whose sizes allow the similarity.
 
-    The smaller set looks only at the classes of sizes up to 1 / 0.85 of its own.
-    """
-    def size_class(n):
-        return F.floor(F.log(n.cast("double")) * 12).cast("int")
+def similar(both, x, y):
+    return 100 * both >= SIMILAR * (x + y - both)
 
-    lead = still.withColumn("class", F.explode(F.sequence(
-        size_class(F.col("n")), size_class(F.floor(F.col("n") * 100 / SIMILAR) + 1))))
-    other = still.withColumn("class", size_class(F.col("n"))).select(
-        "band", "class", *[F.col(c).alias(f"o{c}") for c in ("set", "n", "component")])
-    first = (F.col("n") < F.col("on")) | ((F.col("n") == F.col("on")) & (F.col("set") < F.col("oset")))
-    met = lead.join(other, ["band", "class"]).where(
-        first & (F.col("component") != F.col("ocomponent")) & (100 * F.col("n") >= SIMILAR * F.col("on")))
-    return met.select(F.col("set").alias("a"), F.col("oset").alias("b")).distinct()
 
+def _links(group: list, sides: np.ndarray, part: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect all similar sets of a group; `part`: what is connected already.
 
-def _overlaps(sets: list[np.ndarray]):
-    """A function giving the overlap of set i with every set of the group."""
+    With two sides only sets of different sides are compared, else all.
+    """
+    sets = [np.frombuffer(r.shingles, "<u8") for r in group]
     sizes = np.array([len(s) for s in sets])
     _, number = np.unique(np.concatenate(sets), return_inverse=True)
-    begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    begins = np.concatenate([[0], np.cumsum(sizes)])
     inside = np.zeros(int(number.max()) + 1, dtype=np.int32)
-
-    def of(i: int) -> np.ndarray:
-        own = number[begins[i]:begins[i] + sizes[i]]
-        inside[own] = 1
-        found = np.add.reduceat(inside[number], begins)
-        inside[own] = 0
-        return found
-    return of, sizes
-
-
-def similar(both, x, y):
-    return 100 * both >= SIMILAR * (x + y - both)
-
-
-def _with_each_other(group: list) -> list[tuple[int, int]]:
-    """Links that connect all similar sets of a group; connected ones are not compared again."""
-    of, sizes = _overlaps([np.frombuffer(r.shingles, "<u8") for r in group])
-    part = np.arange(len(group))
+    two = bool(sides.any())
     links = []
-    for i in range(len(group) - 1):
-        able = (part[i + 1:] != part[i]) & similar(np.minimum(sizes[i], sizes[i + 1:]), sizes[i], sizes[i + 1:])
+    for i in np.flatnonzero(sides == 0):
+        later = int(np.searchsorted(sides, 1)) if two else i + 1
+        if later >= len(sets):
+            break
+        able = (part[later:] != part[i]) & similar(np.minimum(sizes[i], sizes[later:]), sizes[i], sizes[later:])
         if not able.any():
             continue
-        both = of(i)[i + 1:]
-        for j in np.flatnonzero(able & similar(both, sizes[i], sizes[i + 1:])) + i + 1:
+        own = number[begins[i]:begins[i + 1]]
+        inside[own] = 1
+        both = np.add.reduceat(inside[number[begins[later]:]], begins[later:-1] - begins[later])
+        inside[own] = 0
+        for j in np.flatnonzero(able & similar(both, sizes[i], sizes[later:])) + later:
             links.append((group[i].set, group[j].set))
             part[part == part[j]] = part[i]
     return links
 
 
-def _with_first(group: list) -> list[tuple[int, int]]:
-    of, sizes = _overlaps([np.frombuffer(r.shingles, "<u8") for r in group])
-    both = of(0)
-    return [(group[0].set, group[j].set) for j in range(1, len(group)) if similar(both[j], sizes[0], sizes[j])]
+def _in_block(group: list) -> list[tuple[int, int]]:
+    return _links(group, np.zeros(len(group), dtype=int), np.arange(len(group)))
+
+
+def _across(group: list) -> list[tuple[int, int]]:
+    return _links(group, np.array([r.side for r in group]), np.array([r.component for r in group]))
 
 
-def _grouped(batches, join):
+def _grouped(batches, keys, join):
     """`join` the rows of each group; rows arrive ordered by group, which batches may cut."""
     group, key = [], None
     for frame in batches:
         links = []
         for r in frame.itertuples(index=False):
-            if (r.band, r.part) != key:
+            own = tuple(getattr(r, k) for k in keys)
+            if own != key:
                 if len(group) > 1:
                     links += join(group)
-                group, key = [], (r.band, r.part)
+                group, key = [], own
             group.append(r)
         yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
     if len(group) > 1:
         yield pd.DataFrame(join(group), columns=["a", "b"], dtype="int64")
 
 
-def links_in(meeting: DataFrame, shingles: DataFrame) -> DataFrame:
-    rows = meeting.join(shingles, "set").repartition("band", "part").sortWithinPartitions("band", "part", "set")
-    return rows.mapInPandas(lambda batches: _grouped(batches, _with_each_other), "a bigint, b bigint")
+def links_in(blocks: DataFrame, shingles: DataFrame) -> DataFrame:
+    """Links that connect the similar sets of each block."""
+    rows = blocks.select("block", "set").join(shingles, "set")
+    return rows.repartition("block").sortWithinPartitions("block", "set").mapInPandas(
+        lambda batches: _grouped(batches, ["block"], _in_block), "a bigint, b bigint")
 
 
-def links_of(pairs: DataFrame, shingles: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The similar ones of `pairs`: each set that leads, with its partners in parts of bounded size."""
-    pairs = durable(pairs)
-    both = pairs.groupBy("a").count().withColumnRenamed("count", "of_a")
-    other = pairs.groupBy("b").count().withColumnRenamed("count", "of_b")
-    lead = F.col("of_a") >= F.col("of_b")
-    turned = pairs.join(both, "a").join(other, "b").select(
-        F.when(lead, F.col("a")).otherwise(F.col("b")).alias("band"),
-        F.when(lead, F.col("b")).otherwise(F.col("a")).alias("set")).join(sizes, "set")
-    partners = durable(_parts_of_one(turned))
-    centres = partners.select("band", "part").distinct().select("band", "part", F.col("band").alias("set"))
-    rows = centres.join(shingles, "set").withColumn("role", F.lit(0)).unionByName(
-        partners.join(shingles, "set").withColumn("role", F.lit(1)))
-    return rows.repartition("band", "part").sortWithinPartitions("band", "part", "role", "set").mapInPandas(
-        lambda batches: _grouped(batches, _with_first), "a bigint, b bigint")
-
-
-def _parts_of_one(turned: DataFrame) -> DataFrame:
-    many = turned.groupBy("band").agg(F.count(F.lit(1)).alias("many"), F.sum("n").alias("total"))
-    parts = F.greatest(F.ceil(F.col("many") / GROUP_SETS), F.ceil(F.col("total") / GROUP_SHINGLES)).cast("bigint")
-    return turned.join(many, "band").select(
-        "band", F.pmod(F.xxhash64("set", "band"), parts).cast("int").alias("part"), "set")
+def links_across(pairs: DataFrame, members: DataFrame, shingles: DataFrame) -> DataFrame:
+    """Links that connect the similar sets of different components in each pair of blocks."""
+    sides = pairs.select("one", "two", F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), F.col("one").alias("block")),
+        F.struct(F.lit(1).alias("side"), F.col("two").alias("block")))).alias("s")).select("one", "two", "s.side", "s.block")
+    rows = sides.join(members.select("block", "set", "component"), "block").drop("block").join(shingles, "set")
+    return rows.repartition("one", "two").sortWithinPartitions("one", "two", "side", "set").mapInPandas(
+        lambda batches: _grouped(batches, ["one", "two"], _across), "a bigint, b bigint")
 
 
 # -- the whole operator ---------------------------------------------------------------------------
@@ -277,9 +256,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.coalesce(F.min_by("digest", "id"), F.min("digest")).alias("digest")).withColumn(
         "set", F.monotonically_increasing_id()))
 
-    posted = durable(sets.select("set", "n", "bands").mapInPandas(_posted, "band bigint, set bigint, n bigint"))
-    shared = posted.groupBy("band").count().where("count > 1").select("band")
-    postings = durable(posted.join(shared, "band", "left_semi"))
+    posted = durable(sets.select("set", "bands").mapInPandas(_posted, "band bigint, set bigint"))
+    many = posted.groupBy("band").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
+    postings = durable(posted.join(many, "band"))
     # the text of the smallest id of each set that shares a band
     wanted = postings.select("set").distinct().join(sets.select("set", "least", "digest", "a", "b"), "set")
     named = texts.join(wanted.withColumnRenamed("digest", "_digest"),
@@ -288,12 +267,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "set").agg(F.first("shingles").alias("shingles")))
 
     nodes = wanted.select(F.col("set").alias("id"))
-    links = durable(links_in(meetings(postings, range(2)), shingles))
-    part = durable(connected_components(nodes, links))
-    links = durable(links.unionByName(links_in(meetings(open_postings(postings, part), range(2, 5)), shingles)))
+    blocks = durable(blocks_of(postings, sets.select("set", "n")))
+    links = durable(links_in(blocks, shingles))
     part = durable(connected_components(nodes, links))
-    left = left_pairs(open_postings(postings, part))
-    more = durable(links_of(left, shingles, sets.select("set", "n")))
+    pairs, members = block_pairs(postings, blocks, part)
+    more = durable(links_across(pairs, members, shingles))
     if not more.isEmpty():
         part = durable(connected_components(nodes, links.unionByName(more)))
 
