@@ -320,26 +320,83 @@ def dynamics(x: np.ndarray) -> dict:
 # --------------------------------------------------------------- time warping
 
 def dtw_batch(a: np.ndarray, len_a: np.ndarray, b: np.ndarray, len_b: np.ndarray,
-              window: int | None = None) -> np.ndarray:
+              window: int | None = None, limit: float = np.inf) -> np.ndarray:
     """Warping distance of many pairs at once: root of the cheapest path of squared
-    differences. Rows of `a` and `b` are padded; `window` limits |i - j|."""
-    pairs, n, m = len(a), a.shape[1], b.shape[1]
+    differences. Rows of `a` and `b` are padded; `window` limits |i - j|. Pairs beyond
+    `limit` are given up (infinite)."""
+    n, m = a.shape[1], b.shape[1]
     a_t, b_t = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
-    above = np.full((m + 1, pairs), np.inf)
+    alive = np.arange(len(a))
+    above = np.full((m + 1, len(a)), np.inf)
     above[0] = 0.0
-    out = np.full(pairs, np.inf)
+    out = np.full(len(a), np.inf)
+    most = limit * limit * (1 + 1e-9)
     for i in range(n):
-        row = np.full((m + 1, pairs), np.inf)
+        row = np.full((m + 1, len(alive)), np.inf)
         low, high = (0, m) if window is None else (max(0, i - window), min(m, i + window + 1))
         for j in range(low, high):
             step = np.minimum(np.minimum(above[j + 1], row[j]), above[j])
             row[j + 1] = (a_t[i] - b_t[j]) ** 2 + step
-        ends = np.flatnonzero(len_a == i + 1)
-        out[ends] = row[len_b[ends], ends]
+        ends = np.flatnonzero(len_a[alive] == i + 1)
+        out[alive[ends]] = row[len_b[alive[ends]], ends]
         above = row
+        if i % 2 and np.isfinite(limit):
+            keep = (above.min(axis=0) <= most) & (len_a[alive] > i + 1)
+            if keep.sum() < 0.8 * len(keep):
+                alive, above, a_t, b_t = alive[keep], above[:, keep], a_t[:, keep], b_t[:, keep]
+                if not len(alive):
+                    break
+    out[out > most] = np.inf
     return np.sqrt(out)
 
 
+def runs_of(series: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of the runs of equal neighbours, and how long each is."""
+    starts = np.concatenate([[0], np.flatnonzero(series[1:] != series[:-1]) + 1])
+    return series[starts], np.diff(np.append(starts, len(series)))
+
+
+def dtw_runs(a: np.ndarray, table: np.ndarray, lengths: np.ndarray, limit: float = np.inf) -> np.ndarray:
+    """Warping distance of one series to many (padded rows); infinite where it exceeds `limit`.
+
+    All days of a run of `a` update the row of path costs in the same way, so a run is left as
+    soon as a day changes nothing: a zero-filled series costs a few days per observed one. A row
+    is one pass, cost so far plus the least of (arrival - cost before it). Series whose whole
+    row is beyond the limit are given up.
+    """
+    out = np.full(len(table), np.inf)
+    if not len(a) or not len(table):
+        return out
+    alive = np.arange(len(table))
+    most = limit * limit * (1 + 1e-9)
+    past = np.full((len(table), table.shape[1] + 1), np.inf)  # column 0 lies before the first day
+    past[:, 0] = 0.0
+    part = table
+    for value, length in zip(*runs_of(np.asarray(a, dtype=float))):
+        cost = (part - value) ** 2
+        total = np.cumsum(cost, axis=1)
+        before = total - cost
+        for _ in range(int(length)):
+            now = np.minimum(past[:, 1:], past[:, :-1])
+            now -= before
+            np.minimum.accumulate(now, axis=1, out=now)
+            now += total
+            same = np.array_equal(now, past[:, 1:])
+            past[:, 1:] = now
+            past[:, 0] = np.inf
+            if same:
+                break
+        if np.isfinite(limit):
+            keep = past[:, 1:].min(axis=1) <= most
+            if keep.sum() < 0.8 * len(keep):
+                alive, past, part = alive[keep], past[keep], part[keep]
+                if not len(alive):
+                    return out
+    out[alive] = np.sqrt(np.maximum(past[np.arange(len(alive)), lengths[alive]], 0.0))
+    out[out > limit * (1 + 1e-12)] = np.inf
+    return out
+
+
 def padded(series: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.array([len(s) for s in series], dtype="int64")
     table = np.zeros((len(series), int(lengths.max()) if len(series) else 0))

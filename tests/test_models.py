@@ -67,6 +67,25 @@ def random_series(n=60, seed=3):
     return made + [made[0]] * 20  # a hot group of copies
 
 
+def test_dtw_on_runs():
+    rng = np.random.default_rng(1)
+
+    def sparse(n):
+        return np.where(rng.random(n) < 0.3, rng.integers(1, 5, n), 0).astype(float)
+    for shift in (0.0, 0.1):
+        for n in range(1, 40):
+            a, many = sparse(n), [sparse(m) + shift for m in rng.integers(1, 40, 6)]
+            want = np.array([plain_dtw(a, s) for s in many])
+            table, lengths = kernels.padded(many)
+            assert np.allclose(kernels.dtw_runs(a, table, lengths), want)
+            cut = np.where(want <= 3, want, np.inf)
+            assert np.allclose(kernels.dtw_runs(a, table, lengths, 3.0), cut)
+            ta, la = kernels.padded([a] * 6)
+            assert np.allclose(kernels.dtw_batch(ta, la, table, lengths, limit=3.0), cut)
+            for j, distance in enumerate(want):  # the bound keeps every pair within the limit
+                assert dtw.run_bounds([a], many, np.zeros(1, int), np.array([j]), distance).all()
+
+
 def test_dtw_pairs_and_clusters(spark):
     data = random_series()
     df = spark.createDataFrame(list(enumerate(data)), "sku_key bigint, series array<double>")
