@@ -102,26 +102,31 @@ def _often(batches, width):
 
 # -- counting in ranges ---------------------------------------------------------------------------
 
-def _packed(part, sets, marks, sizes, frequencies=None) -> dict:
-    """Sets (arrays) of one part as one row."""
-    return {"part": part, "marks": np.array(marks, dtype="<i8").tobytes(),
-            "sizes": np.array(sizes, dtype="<i8").tobytes(),
-            "counts": np.array([len(s) for s in sets], dtype="<i4").tobytes(),
+def _packed(part, sets, marks, frequencies=None) -> dict:
+    """Sets (arrays) of one part as one row; a set is named by half its mark, in lists of 255 shingles."""
+    cut = [(m, s[k:k + 255]) for m, s in zip(marks, sets) for k in range(0, len(s), 255)]
+    return {"part": part, "marks": np.array([m for m, _ in cut], dtype="<i8").tobytes(),
+            "counts": np.array([len(s) for _, s in cut], dtype="u1").tobytes(),
             "tokens": np.concatenate(sets).astype("<u8").tobytes(),
-            "df": (np.concatenate(frequencies) if frequencies else np.zeros(0)).astype("<i8").tobytes()}
+            "df": (np.concatenate(frequencies) if frequencies else np.zeros(0)).astype("<i8").tobytes(), "sizes": b""}
 
 
-PACKED = "part int, marks binary, sizes binary, counts binary, tokens binary, df binary"
+PACKED = "part int, marks binary, counts binary, tokens binary, df binary, sizes binary"
 
 
 def _unpacked(frame: pd.DataFrame):
-    """(marks n x 2, size, set number of each token, token, df) of all rows, equal sets numbered alike."""
-    marks = np.frombuffer(b"".join(frame["marks"]), "<i8").reshape(-1, 2)
-    sizes = np.frombuffer(b"".join(frame["sizes"]), "<i8")
-    counts = np.frombuffer(b"".join(frame["counts"]), "<i4")
-    names, first, number = np.unique(marks, axis=0, return_index=True, return_inverse=True)
-    return (names, sizes[first], np.repeat(number.ravel(), counts),
-            np.frombuffer(b"".join(frame["tokens"]), "<u8"), np.frombuffer(b"".join(frame["df"]), "<i8"))
+    """(mark, set number of each token, token, df) of all rows, equal sets numbered alike."""
+    marks = np.frombuffer(b"".join(frame["marks"]), "<i8")
+    counts = np.frombuffer(b"".join(frame["counts"]), "u1")
+    names, number = np.unique(marks, return_inverse=True)
+    return (names, np.repeat(number, counts), np.frombuffer(b"".join(frame["tokens"]), "<u8"),
+            np.frombuffer(b"".join(frame["df"]), "<i8"))
+
+
+def _sized(part: int, known: list[tuple]) -> dict:
+    """(mark, size) of sets, once for all their shingles."""
+    sizes = np.array([(*mark, n) for mark, n in known], dtype="<i8").tobytes()
+    return {"part": part, "marks": b"", "counts": b"", "tokens": b"", "df": b"", "sizes": sizes}
 
 
 def _dealt(batches, width, ranges, buckets, hot):
@@ -131,29 +136,32 @@ def _dealt(batches, width, ranges, buckets, hot):
         texts = frame["text"].tolist()
         for a, b in text_slices(texts):
             parts: dict[int, list] = {}
-            known = set()
+            known: dict[tuple, int] = {}
             for tokens in shingle_sets(texts[a:b], width):
                 if not len(tokens):
                     continue
                 mark = fingerprint(tokens)
                 if mark in known:
                     continue
-                known.add(mark)
+                known[mark] = len(tokens)
                 at = np.searchsorted(hot_tokens, tokens)
                 is_hot = hot_tokens[np.minimum(at, len(hot_tokens) - 1)] == tokens if len(hot_tokens) else np.zeros(
                     len(tokens), dtype=bool)
                 if is_hot.any():
                     parts.setdefault(-1 - bucket_of(mark, buckets), []).append(
-                        (tokens[is_hot], mark, len(tokens), hot_df[at[is_hot]]))
+                        (tokens[is_hot], mark[0], hot_df[at[is_hot]]))
                 rest = tokens[~is_hot]
                 where = ((rest >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
                 cuts = np.searchsorted(where, np.arange(ranges + 1))  # tokens ascend, so ranges do
                 for r in np.flatnonzero(np.diff(cuts)):
-                    parts.setdefault(int(r), []).append((rest[cuts[r]:cuts[r + 1]], mark, len(tokens), None))
-            if parts:
+                    parts.setdefault(int(r), []).append((rest[cuts[r]:cuts[r + 1]], mark[0], None))
+            if known:
+                by_bucket: dict[int, list] = {}
+                for mark, n in known.items():
+                    by_bucket.setdefault(-1 - bucket_of(mark, buckets), []).append((mark, n))
                 yield pd.DataFrame([
-                    _packed(p, *map(list, list(zip(*rows))[:3]),
-                            frequencies=[r[3] for r in rows] if p < 0 else None) for p, rows in parts.items()])
+                    _packed(p, [r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows] if p < 0 else None)
+                    for p, rows in parts.items()] + [_sized(p, sets) for p, sets in by_bucket.items()])
 
 
 def bucket_of(mark, buckets: int) -> int:
@@ -167,7 +175,7 @@ def _counted(frame: pd.DataFrame, buckets: int) -> pd.DataFrame:
     """
     if frame["part"].iloc[0] < 0:
         return frame
-    names, sizes, number, token, _ = _unpacked(frame)
+    names, number, token, _ = _unpacked(frame)
     order = np.lexsort((number, token))
     token, number = token[order], number[order]
     once = np.ones(len(token), dtype=bool)
@@ -180,33 +188,36 @@ def _counted(frame: pd.DataFrame, buckets: int) -> pd.DataFrame:
     order = np.argsort(number, kind="stable")
     token, number, df = token[order], number[order], df[order]
     used, first, count = np.unique(number, return_index=True, return_counts=True)
-    where = (names[used, 0] & 0x7FFFFFFF) % buckets
+    where = (names[used] & 0x7FFFFFFF) % buckets
     rows = []
     for p in np.unique(where):
         own = np.flatnonzero(where == p)
         take = [slice(first[i], first[i] + count[i]) for i in own]
-        rows.append(_packed(-1 - int(p), [token[t] for t in take], names[used[own]], sizes[used[own]],
-                            [df[t] for t in take]))
-    return pd.DataFrame(rows, columns=["part", "marks", "sizes", "counts", "tokens", "df"])
+        rows.append(_packed(-1 - int(p), [token[t] for t in take], names[used[own]].tolist(), [df[t] for t in take]))
+    return pd.DataFrame(rows, columns=["part", "marks", "counts", "tokens", "df", "sizes"])
 
 
 def _ordered(frame: pd.DataFrame) -> pd.DataFrame:
     """One bucket: its sets in global order, those with a shared shingle in their prefix."""
-    names, sizes, number, token, df = _unpacked(frame)
+    names, number, token, df = _unpacked(frame)
     order = np.lexsort((token, df, number))
     token, df, number = token[order], df[order], number[order]
     once = np.ones(len(token), dtype=bool)  # copies of a set have each sent its hot shingles
     once[1:] = (token[1:] != token[:-1]) | (number[1:] != number[:-1])
     token, df, number = token[once], df[once], number[once]
     ends = np.searchsorted(number, np.arange(len(names) + 1))
+    known = np.unique(np.frombuffer(b"".join(frame["sizes"]), "<i8").reshape(-1, 3), axis=0)
+    place = np.searchsorted(names, known[:, 0])
     rows = []
-    for i, n in enumerate(sizes.tolist()):
+    for (a, b, n), i in zip(known.tolist(), place.tolist()):
+        if i == len(names) or names[i] != a:
+            continue  # no shared shingle
         held = int(ends[i + 1] - ends[i])
         alone = n - held
         prefix = n - (3 * n + 3) // 4 + 1 - alone
         if prefix > 0:
             own = slice(ends[i], ends[i + 1])
-            rows.append((int(names[i, 0]), int(names[i, 1]), n, min(prefix, held), token[own].tobytes(),
+            rows.append((a, b, n, min(prefix, held), token[own].tobytes(),
                          np.minimum(df[own], 2**32 - 1).astype("<u4").tobytes()))
     return pd.DataFrame(rows, columns=["a", "b", "n", "prefix", "tokens", "df"])
 
