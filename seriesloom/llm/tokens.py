@@ -156,3 +156,8 @@ def shared_tokenizer(vocabulary: str, kind: str) -> PieceTokenizer:
         _ready.clear()
         _ready[key] = PieceTokenizer(vocabulary, kind)
     return _ready[key]
+
+
+def release() -> None:
+    """Give the shared tokenizer's pieces back; the next task that needs them starts anew."""
+    _ready.clear()

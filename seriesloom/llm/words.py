@@ -11,7 +11,9 @@ from functools import lru_cache
 
 import numpy as np
 
-CHUNK = 1 << 21  # bytes looked at together
+from .tokens import release
+
+CHUNK = 1 << 19  # bytes looked at together
 _BASE = 0x9E3779B97F4A7C13  # odd, 3 mod 8
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -49,6 +51,7 @@ def _hash_chunk(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(text number, hash) of every word of every text, in order. None counts as empty."""
+    release()  # a worker that counted pieces before needs their memory now
     owners, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     names, parts, held = [], [], 0
 
