@@ -360,8 +360,7 @@ def dtw_runs(a: np.ndarray, table: np.ndarray, lengths: np.ndarray, limit: float
     """Warping distance of one series to many (padded rows); infinite where it exceeds `limit`.
 
     All days of a run of `a` update the row of path costs in the same way, so a run is left as
-    soon as a day changes nothing: a zero-filled series costs a few days per observed one. A row
-    is one pass, cost so far plus the least of (arrival - cost before it). Series whose whole
+    soon as a day changes nothing (small values make that late: paths may wait at them). A row is one pass, cost so far plus the least of (arrival - cost before it). Series whose whole
     row is beyond the limit are given up.
     """
     out = np.full(len(table), np.inf)
