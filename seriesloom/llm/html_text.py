@@ -3,7 +3,8 @@
 Each page becomes a tree of elements. Elements that are never content (scripts, styles,
 navigation, forms, elements classed as adverts, notices, comments and the like) are cut
 first, but none by its class that contains `main` or `article` or most of the body's plain
-characters. For every node i that is left
+characters. A class that only has such a word among others (`market-share-table`) cuts an
+element of the article, or one beside its paragraphs, only where most of its text is links. For every node i that is left
 
     density(i) = C/T * log(C/LC * T/LT) / log(ln(C/(C-LC) * LC + LCb/Cb * C + e))
 
@@ -46,6 +47,15 @@ NOISE = frozenset("ad ads advert adverts advertisement advertising banner breadc
                   "modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall "
                   "popup promo promotion recommended related replies responses search share sharing shoutbox sidebar "
                   "signup skip social sponsor sponsored subscribe subscription tags toolbar topbar widget".split())
+# Of these, those with hardly another meaning, whatever word stands beside them.
+PLAIN_NOISE = frozenset("ad ads advert adverts advertisement advertising breadcrumb breadcrumbs comments disqus gdpr masthead "
+                        "navbar newsletter pagination paywall promo shoutbox sidebar signup sponsored topbar".split())
+# Words that only say which part of a page or list an element is.
+PARTS = frozenset("area article articles author bar block body bottom box button buttons col column container content "
+                  "desktop element feed form global group inner item items left link links list main meta mobile outer page "
+                  "panel post posts primary reader right row secondary section site slot text thread title top unit user "
+                  "wrap wrapper".split())
+HEADINGS = frozenset("p h1 h2 h3 h4 h5 h6".split())
 # With one of these a class says how the page is set up, not what the element is.
 STATES = frozenset("has with without no not disable disabled enable enabled overflow".split())
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
@@ -55,7 +65,7 @@ class Node:
     __slots__ = ("tag", "parent", "children", "noise", "marked", "chars", "tags", "link_chars", "link_tags", "density",
                  "total", "first", "last")
 
-    def __init__(self, tag: str, parent: "Node | None", noise: bool, marked: bool = False):
+    def __init__(self, tag: str, parent: "Node | None", noise: bool, marked: int = 0):
         self.tag, self.parent, self.noise, self.marked = tag, parent, noise, marked
         self.children: list = []  # nodes and texts in page order
 
@@ -65,31 +75,36 @@ class _Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("#page", None, False)
         self.open = [self.root]
+        self.depths: dict[str, list[int]] = {}  # where in `open` each name stands
 
     def _pop_to(self, depth: int) -> None:
+        for node in self.open[depth:]:
+            self.depths[node.tag].pop()
         del self.open[depth:]
 
+    def _deepest(self, names) -> int:
+        return max((self.depths[n][-1] for n in names if self.depths.get(n)), default=0)
+
     def _close(self, names, stops=()) -> None:
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag in stops:
-                return
-            if self.open[depth].tag in names:
-                return self._pop_to(depth)
+        depth = self._deepest(names)
+        if depth > self._deepest(stops):
+            self._pop_to(depth)
 
     def handle_starttag(self, tag, attrs):
-        if tag in ("html", "body") and any(n.tag == tag for n in self.open):
+        if tag in ("html", "body") and self._deepest((tag,)):
             return
         if tag not in INLINE and self.open[-1].tag == "head" and tag not in (
                 "meta", "title", "link", "style", "script", "base", "noscript", "template"):
-            self.open.pop()
+            self._pop_to(len(self.open) - 1)
         if tag in CLOSES_P:
             self._close(("p",), ("button", "table", "td", "th", "article", "section", "div", "blockquote", "li"))
         if tag in SAME_ENDS:
             self._close(SAME_ENDS[tag], STOPS[tag])
-        inside = any(n.tag in ("article", "main") for n in self.open)
+        inside = self._deepest(("article", "main")) > 0
         node = Node(tag, self.open[-1], _is_noise(tag, attrs, inside), _is_marked(attrs))
         self.open[-1].children.append(node)
         if tag not in VOID:
+            self.depths.setdefault(tag, []).append(len(self.open))
             self.open.append(node)
 
     def handle_startendtag(self, tag, attrs):
@@ -113,31 +128,46 @@ def _is_noise(tag: str, attrs, inside_article: bool) -> bool:
                for name, value in attrs)
 
 
-def _is_marked(attrs) -> bool:
-    """Whether a class, id or role names what is not the article."""
+def _is_marked(attrs) -> int:
+    """How far a class, id or role names what is not the article: 2 if a word of it says
+    nothing else, 1 if it names something besides (or a header), 0 if it does not."""
+    found = 0
     for name, value in attrs:
         if name in ("class", "id", "role") and value:
             for word in value.split():
-                parts = [p.lower() for p in _PART.findall(word)]
-                if not STATES.intersection(parts) and any(p in NOISE for p in parts):
-                    return True
-    return False
+                parts = {p.lower() for p in _PART.findall(word)}
+                noise = parts & NOISE
+                if noise and not parts & STATES:
+                    plain = parts & PLAIN_NOISE or all(p in NOISE or p in PARTS or len(p) < 3 or p.isdigit() for p in parts)
+                    found = max(found, 2 if plain and noise != {"header"} else 1)
+    return found
 
 
 def _cut_marked(root: Node, body: Node) -> None:
     """Cuts marked elements and forms, but those that hold the article: a `main` or `article`
     that is not marked itself, or most of the body's plain characters, unless such a `main`
-    or `article` beside it has a tenth of its own (an article with many comments)."""
+    or `article` beside it has a tenth of its own (an article with many comments). What is
+    marked by one word of several stays inside a `main` or `article` and beside paragraphs
+    or headings, unless half of its characters or more are links."""
     nodes = _in_order(root)
-    plain, articles, holds = {}, {}, {}
+    plain, chars, articles, holds, inside = {}, {}, {}, {}, {root: False}
     for node in reversed(nodes):
         inner = [c for c in node.children if isinstance(c, Node) and not c.noise]
-        named = node.tag in ("main", "article") and not node.marked
-        plain[node] = 0 if node.tag == "a" else sum(plain[c] for c in inner) + sum(
-            len("".join(c.split())) for c in node.children if isinstance(c, str))
+        named = node.tag in ("main", "article") and node.marked < 2
+        own = sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
+        chars[node] = own + sum(chars[c] for c in inner)
+        plain[node] = 0 if node.tag == "a" else own + sum(plain[c] for c in inner)
         holds[node] = named or any(holds[c] for c in inner)
         articles[node] = plain[node] if named else sum(articles[c] for c in inner)
     for node in nodes:
+        named = node.tag in ("main", "article") and node.marked < 2
+        within = inside[node] or named
+        beside = any(isinstance(c, Node) and c.tag in HEADINGS for c in node.children)
+        for c in node.children:
+            if isinstance(c, Node):
+                inside[c] = within
+                if c.marked == 1 and (within or beside) and 2 * plain.get(c, 0) > chars.get(c, 0):
+                    c.marked = 0
         if (node.marked or node.tag == "form") and node.tag not in ("html", "body", "main", "article") and node is not root:
             most = 2 * plain[node] > plain[body] and 10 * (articles[body] - articles[node]) < plain[node]
             node.noise = not (holds[node] or most)

@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import pytest
 
@@ -48,6 +49,36 @@ def test_state_words_do_not_cut_a_part():
     assert ht.main_text(page) == f"{LONG}\n{LONG}\n{LONG}\n{LONG} end"
 
 
+@pytest.mark.parametrize("part", [
+    "<div class='market-share-table'><p>shares by year</p></div>", "<section class='related-work'><h2>Related work</h2></section>",
+    "<div class='search-method'><p>We searched.</p></div>", "<div class='entry-header'><h1>Heading</h1></div>",
+    "<div class='header'><h1>Heading</h1></div>"])
+@pytest.mark.parametrize("around", ["<article><p>{0}</p>{1}<p>{0}</p></article>", "<main><div><p>{0}</p>{1}<p>{0}</p></div></main>",
+                                    "<div id=text><p>{0}</p>{1}<p>{0}</p></div>"])
+def test_one_word_of_a_class_does_not_cut_the_article(part, around):
+    own = re.sub("<[^>]+>", "", part)
+    assert ht.main_text("<body>" + around.format(LONG, part) + "</body>") == f"{LONG}\n{own}\n{LONG}"
+
+
+@pytest.mark.parametrize("part", [
+    "<div class='ad'>buy {0}</div>", "<div class='google-ads'>buy</div>", "<div class='reader-comments'><p>{0}</p></div>",
+    "<div class='comment-body'><p>first!</p></div>", "<div class='share-buttons'>Share</div>", "<div id=cookieNotice>We use cookies</div>",
+    "<ul class='more-related-stories'><li><a href=x>one story</a><li><a href=y>another</a></ul>",
+    "<div class='sidebar-left'><p>{0}</p></div>", "<div class='newsletter-signup'><p>Join {0}</p></div>"])
+def test_parts_that_are_no_text_are_cut_inside_the_article(part):
+    assert ht.main_text(f"<body><article><p>{LONG}</p>{part.format(LONG)}<p>{LONG} end</p></article>") == f"{LONG}\n{LONG} end"
+
+
+def test_work_grows_with_the_page_however_deep_it_nests():
+    began = time.process_time()
+    deep = 40_000
+    assert ht.main_text("<div>" * deep + "deep") == "deep"
+    assert ht.main_text("<div><p>" + "<b><i>" * deep + "x") == "x"
+    assert ht.main_text("<p><div>" + "<b>" * deep + "x" + "<span>y</span></u>" * deep) == "x" + "y" * deep
+    assert ht.main_text("<ul>" + "<li><b>" * deep + "x").endswith("x")
+    assert time.process_time() - began < 30
+
+
 def test_comments_of_an_article_are_cut():
     notes = "".join(f"<article class='comment-body'><p>{LONG} {i}</p></article>" for i in range(6))
     assert ht.main_text(f"<body><article><h1>T</h1><p>{LONG}</p></article><div class=comments>{notes}</div>") == f"T\n{LONG}"
