@@ -62,3 +62,63 @@ def test_conversations_in_spark(spark):
         assert {r["conv_id"]: tuple(r)[1:] for r in got} == {k: expected(v) for k, v in want.items()}
         assert len(got) == len(want)
     assert cf.digests(cf.format_conversations(df.limit(0))).count() == 0
+
+
+def preamble(turns):
+    return "<s>be nice\n" + "".join(f"{r}: {t}\n" for r, t in turns)
+
+
+def numbered(turns):
+    return "".join(f"{i}. {r}: {t}\n" for i, (r, t) in enumerate(turns))
+
+
+def forgetting(turns):
+    """Rewrites turns once there are more than twenty."""
+    return "".join(f"{r}: {t}\n" for r, t in turns[-20:])
+
+
+def alternating(turns):
+    assert all(a != b for (a, _), (b, _) in zip(turns, turns[1:]))
+    return preamble(turns)
+
+
+def test_history_reaches_over_part_borders():
+    turns = [("assistant" if i % 2 else "user", f"t{i}") for i in range(33)]
+    for template in (preamble, numbered, alternating, cf.chat_template):
+        whole = cf.spans(turns, template)
+        assert whole[0] == template(turns) and len(whole[1]) == 33
+        for size in (1, 2, 5, 16, 33):
+            assert cf.spans(turns, template, size) == whole
+    for size in (1, 2, 8, 1024):
+        assert cf.spans(turns, forgetting, size) == (forgetting(turns), None)
+    assert cf.spans([("system", "s"), *turns], alternating, 4)[0] == alternating([("system", "s"), *turns])
+
+
+def test_long_conversations_are_rendered_in_steps():
+    rendered = 0
+
+    def counted(turns):
+        nonlocal rendered
+        rendered += len(turns)
+        return preamble(turns)
+
+    turns = [("assistant" if i % 2 else "user", "t") for i in range(4000)]
+    assert cf.spans(turns, counted, 50)[0] == preamble(turns)
+    assert rendered < 500_000  # 16 million turn by turn
+
+
+def test_one_row_per_conversation_with_its_spans(spark):
+    def begun(turns):  # local, so that it travels to the workers
+        return "<s>" + "".join(f"{r}: {t}\n" for r, t in turns)
+
+    def latest(turns):
+        return begun(turns[-20:])
+
+    rows = [(1, i, "assistant" if i % 2 else "user", f"t{i}") for i in range(23)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")
+    row, = cf.format_conversations(df, render=begun, part_turns=4).collect()
+    assert row["n_turns"] == 23 and not row["rewrites"]
+    assert row["formatted"] == begun([(r, t) for _, _, r, t in rows])
+    assert [row["formatted"][a:b] for a, b in zip(row["starts"], row["ends"])] == [f"t{i}" for i in range(1, 23, 2)]
+    row, = cf.format_conversations(df, render=latest, part_turns=4).collect()
+    assert row["rewrites"] and row["starts"] == []
