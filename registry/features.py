@@ -263,22 +263,57 @@ def ts_segments(spark, sf_dir):
     return _features(spark, sf_dir, "segments")
 
 
+_tiny = "CASE WHEN abs({0}) > 1e-9 * mass THEN {0} ELSE 0 END"
 _DFT = {f"fft_coefficient__attr_{a}__coeff_{k}": f"max({e}) FILTER (k = {k})"
-        for a, e in (("real", "re"), ("imag", "im"), ("abs", "sqrt(re * re + im * im)"))
-        for k in range(6)}
-
-
-@register("ts_spectrum", _sql(_DFT, "f", """,
-f AS (SELECT sku_key, k, sum(x * cos(2 * pi() * k * pos / n)) AS re, -sum(x * sin(2 * pi() * k * pos / n)) AS im
-      FROM s, (SELECT unnest(range(0, 6)) AS k) WHERE k <= n // 2 GROUP BY 1, 2)"""))
+        for a, e in (("real", "re"), ("imag", "im"), ("abs", "size"), ("angle", "angle"))
+        for k in range(feat.DFT_COEFFICIENTS)}
+_SIZES = {"centroid": "any_value(mean)", "variance": "any_value(spread)",
+          "skew": "CASE WHEN any_value(spread) >= 0.5 THEN sum(size * (k - mean) ** 3) / any_value(total * spread ** 1.5) END",
+          "kurtosis": "CASE WHEN any_value(spread) >= 0.5 THEN sum(size * (k - mean) ** 4) / any_value(total * spread ** 2) END"}
+_SIZES = {f"fft_aggregated__aggtype_{a}": e for a, e in _SIZES.items()}
+_DFT_PRE = f""",
+a AS (SELECT sku_key, x, mass, n, k, (k * pos) % n AS r, 2 * pi() * ((k * pos) % n) / n AS w
+      FROM s, (SELECT unnest(range(0, 5000)) AS k) WHERE k <= n // 2),
+b AS (SELECT sku_key, k, any_value(mass) AS mass,
+             sum(x * CASE WHEN 2 * r = n THEN -1 WHEN 4 * r IN (n, 3 * n) THEN 0 ELSE cos(w) END) AS re,
+             -sum(x * CASE WHEN 2 * r = n THEN 0 WHEN 4 * r = n THEN 1 WHEN 4 * r = 3 * n THEN -1 ELSE sin(w) END) AS im
+      FROM a GROUP BY 1, 2),
+c AS (SELECT *, sqrt(re * re + im * im) AS size, degrees(atan2({_tiny.format('im')}, {_tiny.format('re')})) AS angle FROM b),
+t AS (SELECT sku_key, sum(size) AS total, sum(k * size) / nullif(sum(size), 0) AS mean FROM c GROUP BY 1),
+v AS (SELECT sku_key, sum(size * (k - mean) ** 2) / nullif(any_value(total), 0) AS spread FROM c JOIN t USING (sku_key) GROUP BY 1),
+f AS (SELECT * FROM c JOIN t USING (sku_key) JOIN v USING (sku_key))"""
+
+
+@register("ts_spectrum", _sql(_DFT, "f", _DFT_PRE))
 def ts_spectrum(spark, sf_dir):
     df = _features(spark, sf_dir, "spectrum")
     return df.select("sku_key", *[q(f"sales__{n}") for n in _DFT])
 
 
-@register("ts_spectrum_all")
+@register("ts_spectrum_all", _sql(_DFT | _SIZES, "f", _DFT_PRE))
 def ts_spectrum_all(spark, sf_dir):
-    return feat.extract_features(days(spark, sf_dir), "sales", ["spectrum"])
+    return _features(spark, sf_dir, "spectrum")
+
+
+_ACF_ROWS = f"f AS (SELECT sku_key, count(*) AS n, var_pop(x) AS v, [{', '.join(_acf[i] for i in range(1, 10))}] AS r FROM s GROUP BY 1)"
+_STEPS = """d AS (
+  SELECT sku_key, r, least(9, n // 2 - 1) AS l, 0 AS k, CAST([] AS DOUBLE[]) AS phi, 1.0::DOUBLE AS error, [1.0::DOUBLE] AS found
+  FROM f WHERE v > 0 AND n // 2 - 1 > 0
+  UNION ALL
+  SELECT sku_key, r, l, k + 1,
+         list_append(list_transform(list_zip(phi, list_reverse(phi)), lambda z: z[1] - step * z[2]), step),
+         error * (1 - step * step), list_append(found, step)
+  FROM (SELECT *, (r[k + 1] - CASE WHEN k = 0 THEN 0 ELSE list_inner_product(phi, list_reverse(r[1:k])) END) / error AS step
+        FROM d WHERE k < l AND abs(error) >= 1e-14)),
+e AS (SELECT sku_key, arg_max(found, k) AS found FROM d GROUP BY 1),
+g AS (SELECT f.sku_key, found FROM f LEFT JOIN e USING (sku_key))"""
+
+
+@register("ts_partial_autocorrelation", _sql(
+    {f"partial_autocorrelation__lag_{i}": f"found[{i + 1}]" for i in range(feat.PARTIAL_LAGS)}, "g",
+    f", {_ACF_ROWS}, {_STEPS}", group="").replace("WITH", "WITH RECURSIVE", 1))
+def ts_partial_autocorrelation(spark, sf_dir):
+    return _features(spark, sf_dir, "partial")
 
 
 @register("ts_autoregression")

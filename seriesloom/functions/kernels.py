@@ -10,68 +10,13 @@ import math
 
 import numpy as np
 
-# ------------------------------------------------------------------- spectrum
-DFT_COEFFICIENTS = 100
-SPECTRUM_FIELDS = [f"fft_coefficient__attr_{a}__coeff_{k}"
-                   for a in ("real", "imag", "abs", "angle") for k in range(DFT_COEFFICIENTS)]
-SPECTRUM_FIELDS += [f"fft_aggregated__aggtype_{a}"
-                    for a in ("centroid", "variance", "skew", "kurtosis")]
-
-
-def spectrum(x: np.ndarray) -> dict:
-    c = np.fft.rfft(x)
-    parts = {"real": c.real, "imag": c.imag, "abs": np.abs(c), "angle": np.degrees(np.angle(c))}
-    out = {f"fft_coefficient__attr_{a}__coeff_{k}": v[k]
-           for a, v in parts.items() for k in range(min(len(c), DFT_COEFFICIENTS))}
-    weight = parts["abs"]
-    if weight.sum() > 0:
-        p = weight / weight.sum()
-        at = np.arange(len(p), dtype=float)
-        mean = p @ at
-        var = p @ (at - mean) ** 2
-        out["fft_aggregated__aggtype_centroid"] = mean
-        out["fft_aggregated__aggtype_variance"] = var
-        if var >= 0.5:
-            out["fft_aggregated__aggtype_skew"] = p @ (at - mean) ** 3 / var**1.5
-            out["fft_aggregated__aggtype_kurtosis"] = p @ (at - mean) ** 4 / var**2
-    return out
-
-
 # ------------------------------------------------------------- autoregression
-PARTIAL_LAGS = 10
 AR_ORDER = 10
-AUTOREGRESSION_FIELDS = [f"partial_autocorrelation__lag_{i}" for i in range(PARTIAL_LAGS)]
-AUTOREGRESSION_FIELDS += [f"ar_coefficient__coeff_{i}__k_{AR_ORDER}" for i in range(AR_ORDER + 1)]
-
-
-def _autocovariance(x: np.ndarray, lags: int) -> np.ndarray:
-    d = x - x.mean()
-    n = len(x)
-    return np.array([d[: n - k] @ d[k:] / (n - k) for k in range(lags + 1)])
-
-
-def partial_correlations(x: np.ndarray, lags: int) -> list[float]:
-    """Durbin-Levinson recursion on the unbiased autocovariances."""
-    g = _autocovariance(x, lags)
-    if g[0] <= 0:
-        return []
-    result, phi, error = [1.0], np.zeros(0), g[0]
-    for k in range(1, lags + 1):
-        if abs(error) < 1e-14 * g[0]:
-            break
-        step = (g[k] - phi @ g[k - 1:0:-1]) / error if k > 1 else g[1] / error
-        phi = np.append(phi - step * phi[::-1], step)
-        error *= 1.0 - step * step
-        result.append(step)
-    return result
+AUTOREGRESSION_FIELDS = [f"ar_coefficient__coeff_{i}__k_{AR_ORDER}" for i in range(AR_ORDER + 1)]
 
 
 def autoregression(x: np.ndarray) -> dict:
     n, out = len(x), {}
-    lags = min(PARTIAL_LAGS - 1, n // 2 - 1)
-    if lags > 0:
-        for i, v in enumerate(partial_correlations(x, lags)):
-            out[f"partial_autocorrelation__lag_{i}"] = v
     if n >= 2 * AR_ORDER + 1:
         past = [x[AR_ORDER - i: n - i] for i in range(1, AR_ORDER + 1)]
         design = np.column_stack([np.ones(n - AR_ORDER), *past])

@@ -35,6 +35,8 @@ SIGMAS = [0.5, 1, 1.5, 2, 2.5, 3, 5, 6, 7, 10]
 CORRIDOR = [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]
 CHUNKS = [5, 10, 50]
 MAX_LAG = 40
+PARTIAL_LAGS = 10
+DFT_COEFFICIENTS = 100
 
 
 def _t(v) -> str:
@@ -57,6 +59,8 @@ def prepare(series: DataFrame, value: str, families: set[str]) -> DataFrame:
     lags, leads = 0, 0
     if families & {"changes", "runs", "corridors"}:
         lags = 1
+    if "partial" in families:
+        lags = PARTIAL_LAGS - 1
     if "autocorrelation" in families:
         lags = MAX_LAG
     if "changes" in families:
@@ -166,13 +170,17 @@ def _peaks() -> dict[str, Column]:
     return out
 
 
-def _autocorrelation() -> dict[str, Column]:
+def _lag_sum(lag: int) -> Column:
     n, v = F.count("x"), F.var_pop("x")
-    out = {"autocorrelation__lag_0": F.when(v > 0, F.lit(1.0))}
+    total = F.sum((F.col("x") - F.col("mu")) * (F.col(f"lag{lag}") - F.col("mu")))
+    return F.when((n > lag) & (v > 0), ratio(total, (n - lag) * v))
+
+
+def _autocorrelation() -> dict[str, Column]:
+    out = {"autocorrelation__lag_0": F.when(F.var_pop("x") > 0, F.lit(1.0))}
     sums = []
     for lag in range(1, MAX_LAG + 1):
-        total = F.sum((F.col("x") - F.col("mu")) * (F.col(f"lag{lag}") - F.col("mu")))
-        value = F.when((n > lag) & (v > 0), ratio(total, (n - lag) * v))
+        value = _lag_sum(lag)
         sums.append(value)
         if lag < 10:
             out[f"autocorrelation__lag_{lag}"] = value
@@ -180,6 +188,13 @@ def _autocorrelation() -> dict[str, Column]:
     return out
 
 
+def _partial() -> dict[str, Column]:
+    """What `_partial_autocorrelation` reads: the correlations and how many lags the series allows."""
+    lags = F.least(F.lit(PARTIAL_LAGS - 1), F.floor(F.count("x") / 2) - 1).cast("int")
+    return {"_lag_sums": F.array(*[_lag_sum(lag) for lag in range(1, PARTIAL_LAGS)]),
+            "_lags": F.when(F.var_pop("x") > 0, lags)}
+
+
 def _lagged() -> dict[str, Column]:
     x, out = F.col("x"), {}
     for lag in (1, 2, 3):
@@ -252,7 +267,7 @@ def _segments(segments: int = 10) -> dict[str, Column]:
 ONE_PASS = {
     "moments": _moments, "shape": _shape, "counts": _counts, "changes": _changes,
     "positions": _positions, "runs": _peaks, "autocorrelation": _autocorrelation,
-    "lagged": _lagged, "trend": _trend, "corridors": _corridors, "segments": _segments,
+    "partial": _partial, "lagged": _lagged, "trend": _trend, "corridors": _corridors, "segments": _segments,
 }
 
 
@@ -332,9 +347,45 @@ def _binned_entropy(frame: DataFrame, bins: int = 10) -> DataFrame:
             .groupBy(ID).agg((-F.sum(p * F.ln(p))).alias(f"binned_entropy__max_bins_{bins}")))
 
 
+def _spectrum(frame: DataFrame) -> DataFrame:
+    """Fourier coefficients 0 to n / 2 of each series, as sums over its rows, and moments of their
+    sizes. A series of n rows costs n * n / 2 terms, spread over (series, coefficient) sums
+    inside its partition; what is gathered per series are its n / 2 sums."""
+    n, k = F.col("n"), F.col("k")
+    turn = k * F.col("pos") % n  # whole numbers, so quarter turns are exact
+    angle = 2 * math.pi * turn / n
+    cos = (F.when(turn * 2 == n, F.lit(-1.0)).when((turn * 4 == n) | (turn * 4 == n * 3), F.lit(0.0))
+           .otherwise(F.cos(angle)))
+    sin = (F.when(turn * 2 == n, F.lit(0.0)).when(turn * 4 == n, F.lit(1.0)).when(turn * 4 == n * 3, F.lit(-1.0))
+           .otherwise(F.sin(angle)))
+    terms = frame.select(ID, "n", "pos", "x", "mass", F.explode(F.sequence(F.lit(0), F.floor(n / 2).cast("int"))).alias("k"))
+    sums = terms.groupBy(ID, "k").agg(
+        F.sum(F.col("x") * cos).alias("re"), (-F.sum(F.col("x") * sin)).alias("im"), (F.first("mass") * 1e-9).alias("tiny"))
+    re, im = (F.when(F.abs(F.col(c)) > F.col("tiny"), F.col(c)).otherwise(F.lit(0.0)) for c in ("re", "im"))
+    sums = sums.select(ID, F.struct("k", "re", "im", F.sqrt(F.col("re") ** 2 + F.col("im") ** 2).alias("abs"),
+                                    F.degrees(F.atan2(im, re)).alias("angle")).alias("c"))
+    table = sums.groupBy(ID).agg(F.array_sort(F.collect_list("c")).alias("c"))
+
+    def moment(power: int) -> Column:
+        total = F.aggregate("c", F.lit(0.0), lambda s, c: s + F.pow(c["k"] - F.col("centroid"), F.lit(power)) * c["abs"])
+        return ratio(total, F.col("weight"))
+
+    table = table.withColumn("weight", F.aggregate("c", F.lit(0.0), lambda s, c: s + c["abs"]))
+    table = table.withColumn("centroid", ratio(F.aggregate("c", F.lit(0.0), lambda s, c: s + c["k"] * c["abs"]), "weight"))
+    table = table.withColumn("spread", moment(2))
+    wide = F.col("spread") >= 0.5
+    return table.select(
+        ID, *[F.get("c", F.lit(i))[a].alias(f"fft_coefficient__attr_{name}__coeff_{i}")
+              for name, a in (("real", "re"), ("imag", "im"), ("abs", "abs"), ("angle", "angle"))
+              for i in range(DFT_COEFFICIENTS)],
+        F.col("centroid").alias("fft_aggregated__aggtype_centroid"), F.col("spread").alias("fft_aggregated__aggtype_variance"),
+        F.when(wide, moment(3) / F.pow("spread", F.lit(1.5))).alias("fft_aggregated__aggtype_skew"),
+        F.when(wide, moment(4) / F.pow("spread", F.lit(2.0))).alias("fft_aggregated__aggtype_kurtosis"))
+
+
 STAGED = {
     "quantiles": [_quantiles], "duplicates": [_duplicates], "runs": [_strikes],
-    "trend": [_chunk_trend], "segments": [_binned_entropy],
+    "trend": [_chunk_trend], "segments": [_binned_entropy], "spectrum": [_spectrum],
 }
 
 
@@ -351,14 +402,13 @@ def _kernel(name: str, fields: list[str], fn):
 
 
 KERNELS = {
-    "spectrum": (kernels.SPECTRUM_FIELDS, kernels.spectrum),
     "autoregression": (kernels.AUTOREGRESSION_FIELDS, kernels.autoregression),
     "wavelets": (kernels.WAVELET_FIELDS, kernels.wavelets),
     "complexity": (kernels.COMPLEXITY_FIELDS, kernels.complexity),
     "dynamics": (kernels.DYNAMICS_FIELDS, kernels.dynamics),
 }
 SQL_FAMILIES = ["moments", "shape", "quantiles", "counts", "duplicates", "changes", "positions",
-                "runs", "autocorrelation", "lagged", "trend", "corridors", "segments"]
+                "runs", "autocorrelation", "partial", "lagged", "trend", "corridors", "segments", "spectrum"]
 FAMILIES = SQL_FAMILIES + list(KERNELS)
 
 
@@ -414,6 +464,8 @@ def extract_features(series: DataFrame, value: str = "sales",
         table = table.join(part, ID)
     if "autocorrelation" in chosen:
         table = table.withColumns(_agg_autocorrelation()).drop("_acf")
+    if "partial" in chosen:
+        table = _with_partial_autocorrelation(table)
     if p_values and "trend" in chosen:
         table = _with_p_values(table)
     kept = [c for c in table.columns if c != ID and not c.startswith("_")]
@@ -434,6 +486,27 @@ def _agg_autocorrelation() -> dict[str, Column]:
             for f, v in (("mean", mean), ("median", middle), ("var", spread))}
 
 
+def _with_partial_autocorrelation(table: DataFrame) -> DataFrame:
+    """Durbin-Levinson recursion over the lag sums; stops where nothing is left to explain."""
+    r, lags, zero = F.col("_lag_sums"), F.col("_lags"), F.lit(0.0)
+
+    def step(state: Column, k: Column) -> Column:
+        phi, error = state["phi"], state["error"]
+        past = F.reverse(F.slice(r, F.lit(1), k - 1))
+        known = F.aggregate(F.zip_with(phi, past, lambda a, b: a * b), zero, lambda s, x: s + x)
+        new = F.transform(F.array(ratio(F.get(r, k - 1) - known, error)), lambda d: F.struct(
+            F.concat(F.zip_with(phi, F.reverse(phi), lambda a, b: a - d * b), F.array(d)).alias("phi"),
+            (error * (1 - d * d)).alias("error"), F.concat(state["found"], F.array(d)).alias("found")))
+        return F.when(F.abs(error) < 1e-14, state).otherwise(F.get(new, F.lit(0)))
+
+    start = F.struct(F.array().cast("array<double>").alias("phi"), F.lit(1.0).alias("error"),
+                     F.array(F.lit(1.0)).alias("found"))
+    found = F.aggregate(F.sequence(F.lit(1), lags), start, step)["found"]
+    table = table.withColumn("_found", F.when(lags > 0, found))
+    return table.withColumns({f"partial_autocorrelation__lag_{i}": F.get("_found", F.lit(i))
+                              for i in range(PARTIAL_LAGS)})
+
+
 def to_long(features: DataFrame, key: str = ID) -> DataFrame:
     names = [c for c in features.columns if c != key]
     return features.unpivot([key], [F.col(q(c)) for c in names], "feature", "value")
