@@ -334,7 +334,8 @@ def density_clusters(spark, sf_dir):
 # ------------------------------------------------------------------ time warping
 
 def _day_series(spark, sf_dir, fill=False):
-    return prep.series(cells(spark, sf_dir, "day"), fill=fill)
+    given = cells(spark, sf_dir, "day")
+    return prep.run_series(given) if fill else prep.series(given)
 
 
 @register("dtw_pairs")

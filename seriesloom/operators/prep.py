@@ -211,12 +211,39 @@ def coverage_map(cells: DataFrame, variable: str = "sales") -> DataFrame:
 
 
 def series(cells: DataFrame, variable: str = "sales", fill: bool = False) -> DataFrame:
-    """One ordered array per product, gaps left out or filled with 0."""
-    source = filled_cells(cells, variable) if fill else cells
-    value = F.coalesce(F.col(variable), F.lit(0.0)) if fill else F.col(variable)
-    source = source if fill else source.where(F.col(variable).isNotNull())
-    entries = F.array_sort(F.collect_list(F.struct("tran_date", value.alias("v"))))
-    return source.groupBy("sku_key").agg(F.transform(entries, lambda e: e["v"]).alias("series"))
+    """One ordered array per product, gaps left out or filled with 0 (made from `run_series`)."""
+    if fill:
+        return run_series(cells, variable).select("sku_key", F.flatten(F.transform(
+            "runs", lambda r: F.array_repeat(r["value"], r["length"]))).alias("series"))
+    entries = F.array_sort(F.collect_list(F.struct("tran_date", F.col(variable).alias("v"))))
+    return cells.where(F.col(variable).isNotNull()).groupBy("sku_key").agg(
+        F.transform(entries, lambda e: e["v"]).alias("series"))
+
+
+def run_series(cells: DataFrame, variable: str = "sales") -> DataFrame:
+    """(`sku_key`, `runs`): the zero-filled series of each product as runs (value, length) in order
+    of dates, neighbours never of the same value.
+
+    Runs follow from the observed cells alone: a cell stands for itself and for the gap before
+    it, the last one also for the gap behind it. No row or array grows with the calendar.
+    A NULL cell counts as a gap.
+    """
+    dates = durable(calendar(cells))
+    placed = join_checked(cells, dates, "tran_date")
+    by_date, by_place = (W.partitionBy("sku_key").orderBy(c) for c in ("date_pos", "at"))
+    value, pos, zero = F.coalesce(F.col(variable), F.lit(0)).cast("double"), F.col("date_pos"), F.lit(0.0)
+    behind = F.when(F.lead("date_pos").over(by_date).isNull(), F.col("n_dates") - pos - 1).otherwise(F.lit(0))
+    stretched = placed.select("sku_key", pos, value.alias("v"), behind.alias("behind"),
+                              F.coalesce(F.lag("date_pos").over(by_date) + 1, F.lit(0)).alias("free"))
+    pieces = F.array(*[F.struct(at.alias("at"), v.alias("v"), n.alias("n")) for at, v, n in (
+        (F.col("free"), zero, pos - F.col("free")), (pos, F.col("v"), F.lit(1)), (pos + 1, zero, F.col("behind")))])
+    rows = stretched.select("sku_key", F.inline(F.filter(pieces, lambda p: p["n"] > 0)))
+    marked = rows.withColumn("turn", (F.lag("v").over(by_place) != F.col("v")).cast("int"))
+    numbered = marked.withColumn("run", F.coalesce(F.sum("turn").over(by_place), F.lit(0)))
+    runs = numbered.groupBy("sku_key", "run").agg(F.first("v").alias("value"), F.sum("n").cast("int").alias("length"))
+    entries = F.array_sort(F.collect_list(F.struct("run", "value", "length")))
+    return runs.groupBy("sku_key").agg(F.transform(
+        entries, lambda e: F.struct(e["value"].alias("value"), e["length"].alias("length"))).alias("runs"))
 
 
 def drop_null_rows(df: DataFrame) -> DataFrame:

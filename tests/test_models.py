@@ -1,10 +1,11 @@
+import datetime
 import itertools
 
 import numpy as np
 import pytest
 
 from seriesloom.functions import distributions, kernels
-from seriesloom.operators import (density, dtw, embed, graph, kmeans, neighbours, quality, som,
+from seriesloom.operators import (density, dtw, embed, features, graph, kmeans, neighbours, prep, quality, som,
                                   supervised, ward)
 
 
@@ -110,6 +111,28 @@ def test_dtw_pairs_and_clusters(spark):
     assert set(labels.values()) == set(range(len(set(labels.values()))))
 
 
+def test_warping_of_run_series(spark):
+    rng = np.random.default_rng(8)
+    first = datetime.date(2000, 1, 1)
+    rows = [(k, first + datetime.timedelta(int(d)), float(rng.integers(0, 4)))
+            for k in range(14) for d in rng.choice(40, rng.integers(1, 6), replace=False)]
+    rows += [(20 + k, d, v) for k, d, v in rows if k < 2]  # copies
+    cells = spark.createDataFrame(rows, "sku_key bigint, tran_date date, sales double")
+    runs, days = prep.run_series(cells), prep.series(cells, fill=True)
+    one, other = ({tuple(r) for r in dtw.dtw_pairs(df, 3.0, rows=4).collect()} for df in (runs, days))
+    assert one == other and len(one) > 5
+    assert rows_of(dtw.dtw_clusters(runs, 2.0, rows=4)) == rows_of(dtw.dtw_clusters(days, 2.0, rows=4))
+    windows = [{tuple(r) for r in dtw.dtw_pairs(df, 4.0, 5, rows=4).collect()} for df in (runs, days)]
+    assert windows[0] == windows[1]
+    for df in (runs, days):
+        found = {r["sku_key"]: (r["cluster"], r["dist"]) for r in dtw.dtw_medoids(df, 2, rows=4).collect()}
+        assert set(found) == {r[0] for r in rows} and found[20] == found[0] and found[21] == found[1]
+
+
+def rows_of(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
 def test_dtw_medoids(spark):
     data = [[0.0, 1.0, 0.0]] * 5 + [[0.0, 1.1, 0.0], [9.0, 8.0, 9.0], [9.0, 8.2, 9.0], [9.1, 8.0, 9.0]]
     df = spark.createDataFrame(list(enumerate(data)), "sku_key bigint, series array<double>")
@@ -331,8 +354,6 @@ def test_series_kernels():
     for i in range(1, 400):
         ar[i] = 0.7 * ar[i - 1] + noise[i]
     out = kernels.autoregression(ar)
-    assert abs(out["partial_autocorrelation__lag_1"] - 0.7) < 0.1
-    assert abs(out["partial_autocorrelation__lag_3"]) < 0.15
     assert abs(out["ar_coefficient__coeff_1__k_10"] - 0.7) < 0.15
     stat, p, lags = kernels.dickey_fuller(ar)
     assert stat < -4 and p < 0.01
@@ -343,6 +364,52 @@ def test_series_kernels():
     wave = np.sin(np.arange(100) * 2 * np.pi / 20)
     assert 3 <= kernels.ridge_peaks(wave, 5) <= 7
     assert kernels.lempel_ziv(np.zeros(30) + np.arange(30) % 2, 2) < kernels.lempel_ziv(noise[:30], 10)
-    assert np.isclose(kernels.spectrum(wave)["fft_coefficient__attr_abs__coeff_5"], 50)
     slow = [kernels.approximate_entropy(np.tile([0.0, 1.0, 2.0], 30))[0]]
     assert slow[0] < 0.05
+
+
+def by_hand(x, lags):
+    """Last coefficient of the Yule-Walker system of each order."""
+    d, n = x - x.mean(), len(x)
+    g = np.array([d[:n - k] @ d[k:] / (n - k) for k in range(lags + 1)])
+    return [1.0] + [np.linalg.solve(g[np.abs(np.subtract.outer(range(k), range(k)))], g[1:k + 1])[-1]
+                    for k in range(1, lags + 1)]
+
+
+def test_spectrum_and_partial_autocorrelation(spark):
+    rng = np.random.default_rng(4)
+    noise = rng.normal(size=300)
+    ar = np.zeros(300)
+    for i in range(1, 300):
+        ar[i] = 0.7 * ar[i - 1] + noise[i]
+    given = {1: ar, 2: noise[:7], 3: np.full(9, 2.0), 4: noise[:2], 5: np.zeros(8),
+             6: np.sin(np.arange(100) * 2 * np.pi / 20), 7: noise[:1], 8: noise[:12]}
+    first = datetime.date(2000, 1, 1)
+    df = spark.createDataFrame([(k, first + datetime.timedelta(i), float(v)) for k, x in given.items() for i, v in enumerate(x)],
+                               "sku_key bigint, tran_date date, sales double")
+    got = {r["sku_key"]: r.asDict() for r in features.extract_features(df, "sales", ["spectrum", "partial"]).collect()}
+    assert set(got) == set(given)
+    for key, x in given.items():
+        row, c = got[key], np.fft.rfft(x)
+        for k in range(features.DFT_COEFFICIENTS):
+            want = c[k] if k < len(c) else None
+            for part, value in (("real", np.real), ("imag", np.imag), ("abs", np.abs)):
+                found = row[f"sales__fft_coefficient__attr_{part}__coeff_{k}"]
+                assert found is None if want is None else np.isclose(found, value(want), atol=1e-9)
+            if want is not None and abs(want) > 1e-6:
+                assert np.isclose(row[f"sales__fft_coefficient__attr_angle__coeff_{k}"], np.degrees(np.angle(want)), atol=1e-5)
+        size, at = np.abs(c), np.arange(len(c))
+        if size.sum():
+            mean = size @ at / size.sum()
+            assert np.isclose(row["sales__fft_aggregated__aggtype_centroid"], mean, atol=1e-9)
+            assert np.isclose(row["sales__fft_aggregated__aggtype_variance"], size @ (at - mean) ** 2 / size.sum(), atol=1e-9)
+        lags = min(9, len(x) // 2 - 1) if np.var(x) > 0 else 0
+        partial = [row[f"sales__partial_autocorrelation__lag_{i}"] for i in range(10)]
+        if lags > 0:
+            assert np.allclose(partial[:lags + 1], by_hand(x, lags), rtol=1e-6, atol=1e-9)
+            assert partial[lags + 1:] == [None] * (9 - lags)
+        else:
+            assert partial == [None] * 10
+    assert abs(got[1]["sales__partial_autocorrelation__lag_1"] - 0.7) < 0.1
+    assert got[3]["sales__fft_coefficient__attr_angle__coeff_0"] == 0.0
+    assert got[5]["sales__fft_aggregated__aggtype_centroid"] is None

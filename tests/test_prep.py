@@ -1,4 +1,6 @@
 import datetime as dt
+import itertools
+import random
 
 import numpy as np
 import pytest
@@ -73,6 +75,21 @@ def test_pivot_and_splits(spark):
     assert grid.count() == 6 and grid.where("is_missing").count() == 3
 
 
+def test_run_series(spark):
+    """Runs against arrays filled by hand: gaps, zeros, repeated values and nulls at any place."""
+    rng = random.Random(6)
+    days = [dt.date(2021, 1, 1) + dt.timedelta(2 * i) for i in range(9)]
+    cells = {(k, d): rng.choice([0.0, 1.0, 1.0, 2.5, None]) for k in range(40) for d in rng.sample(days, rng.randint(1, 9))}
+    cells |= {(90, d): 3.0 for d in days} | {(91, days[-1]): 1.0, (92, days[0]): 0.0}
+    df = spark.createDataFrame([(k, d, v) for (k, d), v in cells.items()], "sku_key bigint, tran_date date, sales double")
+    want = {k: [cells.get((k, d)) or 0.0 for d in days] for k in {k for k, _ in cells}}
+    runs = {r["sku_key"]: [tuple(x) for x in r["runs"]] for r in prep.run_series(df).collect()}
+    assert runs == {k: [(v, len(list(g))) for v, g in itertools.groupby(x)] for k, x in want.items()}
+    assert {r["sku_key"]: r["series"] for r in prep.series(df, fill=True).collect()} == want
+    assert runs[90] == [(3.0, 9)] and runs[92] == [(0.0, 9)]
+    assert prep.run_series(df.limit(0)).collect() == []
+
+
 def test_sampling(spark):
     df = spark.range(5000).withColumnRenamed("id", "k")
     picked = prep.sample_exact(df, 700, ["k"], 3)
