@@ -169,6 +169,24 @@ def ts_autocorrelation(spark, sf_dir):
     return _features(spark, sf_dir, "autocorrelation")
 
 
+_law = [f"log10(1 + 1 / {d}::DOUBLE)" for d in range(1, 10)]
+_mid = f"(({' + '.join(_law)}) / 9)"
+_whole = [f"(9 * count(*) FILTER (digit = '{d}') - count(*) FILTER (digit <> ''))" for d in range(1, 10)]
+LEVELS = {
+    f"mean_n_absolute_max__number_of_maxima_{feat.LARGEST}":
+        f"CASE WHEN count(*) > {feat.LARGEST} THEN list_sum(max(abs(x), {feat.LARGEST})) / {feat.LARGEST} END",
+    **{f"count_above__t_{t(v)}": f"count(*) FILTER (x >= {v}) / count(*)" for v in feat.LEVELS},
+    **{f"count_below__t_{t(v)}": f"count(*) FILTER (x <= {v}) / count(*)" for v in feat.LEVELS},
+    "benford_correlation": f"({' + '.join(f'{c} * ({b} - {_mid})' for c, b in zip(_whole, _law))}) / nullif(sqrt(("
+                           f"{' + '.join(f'{c} * {c}' for c in _whole)}) * ({' + '.join(f'({b} - {_mid}) ** 2' for b in _law)})), 0)"}
+
+
+@register("ts_levels", _sql(LEVELS, "g", """,
+g AS (SELECT sku_key, x, regexp_extract(CAST(abs(x) AS VARCHAR), '[1-9]') AS digit FROM s)"""))
+def ts_levels(spark, sf_dir):
+    return _features(spark, sf_dir, "levels")
+
+
 LAGGED = {}
 for _l in (1, 2, 3):
     LAGGED[f"c3__lag_{_l}"] = f"coalesce(avg(lead{2 * _l} * lead{_l} * x), 0)"

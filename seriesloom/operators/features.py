@@ -34,6 +34,8 @@ COUNTED_RANGES = [(-1, 1), (-10**12, 0), (0, 10**12)]
 SIGMAS = [0.5, 1, 1.5, 2, 2.5, 3, 5, 6, 7, 10]
 CORRIDOR = [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]
 CHUNKS = [5, 10, 50]
+LEVELS = [0]
+LARGEST = 7
 MAX_LAG = 40
 PARTIAL_LAGS = 10
 DFT_COEFFICIENTS = 100
@@ -134,6 +136,27 @@ def _counts() -> dict[str, Column]:
     return out
 
 
+def _levels() -> dict[str, Column]:
+    """Shares of values on either side of a level, mean of the largest sizes, and how far first
+    digits follow Benford's law (NULL if all nine are equally frequent)."""
+    x, n = F.col("x"), F.count("x")
+    largest = F.slice(F.sort_array(F.collect_list(F.abs(x)), asc=False), 1, LARGEST)  # as long as the series
+    out = {f"mean_n_absolute_max__number_of_maxima_{LARGEST}": F.when(
+        n > LARGEST, F.aggregate(largest, F.lit(0.0), lambda s, v: s + v) / LARGEST)}
+    for v in LEVELS:
+        out[f"count_above__t_{_t(v)}"] = ratio(F.count_if(x >= v), n)
+        out[f"count_below__t_{_t(v)}"] = ratio(F.count_if(x <= v), n)
+    digit = F.regexp_extract(F.abs(x).cast("string"), "[1-9]", 0)
+    some = F.count_if(digit != "")
+    law = [math.log10(1 + 1 / d) for d in range(1, 10)]
+    away = [b - sum(law) / 9 for b in law]
+    counts = [F.count_if(digit == str(d)) * 9 - some for d in range(1, 10)]  # whole numbers: equal counts are 0
+    both = sum((c * F.lit(b) for c, b in zip(counts[1:], away[1:])), counts[0] * F.lit(away[0]))
+    spread = sum((c * c for c in counts[1:]), counts[0] * counts[0])
+    out["benford_correlation"] = ratio(both, F.sqrt(spread * F.lit(sum(b * b for b in away))))
+    return out
+
+
 def _changes() -> dict[str, Column]:
     x, step = F.col("x"), F.col("x") - F.col("lag1")
     bend = (F.col("lead2") - 2 * F.col("lead1") + x) / 2
@@ -265,7 +288,7 @@ def _segments(segments: int = 10) -> dict[str, Column]:
 
 
 ONE_PASS = {
-    "moments": _moments, "shape": _shape, "counts": _counts, "changes": _changes,
+    "moments": _moments, "shape": _shape, "counts": _counts, "levels": _levels, "changes": _changes,
     "positions": _positions, "runs": _peaks, "autocorrelation": _autocorrelation,
     "partial": _partial, "lagged": _lagged, "trend": _trend, "corridors": _corridors, "segments": _segments,
 }
@@ -407,7 +430,7 @@ KERNELS = {
     "complexity": (kernels.COMPLEXITY_FIELDS, kernels.complexity),
     "dynamics": (kernels.DYNAMICS_FIELDS, kernels.dynamics),
 }
-SQL_FAMILIES = ["moments", "shape", "quantiles", "counts", "duplicates", "changes", "positions",
+SQL_FAMILIES = ["moments", "shape", "quantiles", "counts", "levels", "duplicates", "changes", "positions",
                 "runs", "autocorrelation", "partial", "lagged", "trend", "corridors", "segments", "spectrum"]
 FAMILIES = SQL_FAMILIES + list(KERNELS)
 

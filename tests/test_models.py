@@ -368,6 +368,27 @@ def test_series_kernels():
     assert slow[0] < 0.05
 
 
+def test_levels(spark):
+    rng = np.random.default_rng(9)
+    given = {1: 10 ** rng.uniform(-4, 9, 200) * rng.choice([-1, 1], 200), 2: np.zeros(5), 3: np.arange(1.0, 10), 4: np.array([1e-7, -30.0])}
+    first = datetime.date(2000, 1, 1)
+    df = spark.createDataFrame([(k, first + datetime.timedelta(i), float(v)) for k, x in given.items() for i, v in enumerate(x)],
+                               "sku_key bigint, tran_date date, sales double")
+    got = {r["sku_key"]: r.asDict() for r in features.extract_features(df, "sales", ["levels"]).collect()}
+    law = np.log10(1 + 1 / np.arange(1, 10))
+    for key, x in given.items():
+        row = got[key]
+        assert np.isclose(row["sales__count_above__t_0"], (x >= 0).mean())
+        assert np.isclose(row["sales__count_below__t_0"], (x <= 0).mean())
+        top = row["sales__mean_n_absolute_max__number_of_maxima_7"]
+        assert np.isclose(top, np.sort(np.abs(x))[-7:].mean()) if len(x) > 7 else top is None
+        digits = np.array([int(np.format_float_scientific(abs(v))[0]) for v in x])
+        shares = np.array([(digits == d).mean() for d in range(1, 10)])
+        found = row["sales__benford_correlation"]
+        assert found is None if shares.std() < 1e-12 else np.isclose(found, np.corrcoef(law, shares)[0, 1])
+    assert got[1]["sales__benford_correlation"] > 0.8
+
+
 def by_hand(x, lags):
     """Last coefficient of the Yule-Walker system of each order."""
     d, n = x - x.mean(), len(x)
