@@ -348,6 +348,24 @@ def dtw_clusters(spark, sf_dir):
     return dtw.dtw_clusters(_day_series(spark, sf_dir, fill=True), 40.0)
 
 
+#: Monthly series: a daily pair costs 50 to 110 ms to warp, so a daily limit that links anything is not run here (README).
+MONTHLY_LIMIT = 75.0
+
+
+def _month_series(spark, sf_dir):
+    return prep.run_series(cells(spark, sf_dir, "month"))
+
+
+@register("dtw_merge_tree")
+def dtw_merge_tree(spark, sf_dir):
+    return dtw.dtw_merge_tree(_month_series(spark, sf_dir), MONTHLY_LIMIT)
+
+
+@register("dtw_inconsistent_clusters")
+def dtw_inconsistent_clusters(spark, sf_dir):
+    return dtw.dtw_inconsistent_clusters(_month_series(spark, sf_dir), MONTHLY_LIMIT)
+
+
 @register("dtw_medoids")
 def dtw_medoids(spark, sf_dir):
     return dtw.dtw_medoids(_day_series(spark, sf_dir, fill=True), 4)

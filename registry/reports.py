@@ -90,20 +90,32 @@ def _month_reports(spark, sf_dir):
     return ClusterReports(bands(d), d)
 
 
-@register("cluster_start_counts", f"""{MONTHS},
-s AS (SELECT cluster, sku_key, min(tran_date) AS start FROM cs GROUP BY 1, 2)
+START_COUNTS = """s AS (SELECT cluster, sku_key, min(tran_date) AS start FROM cs GROUP BY 1, 2)
 SELECT cluster, start > first AS nan, count(*) AS n_products
-FROM (SELECT *, min(start) OVER (PARTITION BY cluster) AS first FROM s) GROUP BY 1, 2""")
+FROM (SELECT *, min(start) OVER (PARTITION BY cluster) AS first FROM s) GROUP BY 1, 2"""
+ALL_SERIES = "SELECT cluster, tran_date, sku_key, avg(sales) AS sales FROM cs GROUP BY 1, 2, 3"
+
+
+@register("cluster_start_counts", f"{MONTHS}, {START_COUNTS}")
 def cluster_start_counts(spark, sf_dir):
     return _month_reports(spark, sf_dir).start_counts()
 
 
-@register("cluster_all_series", f"""{MONTHS}
-SELECT cluster, tran_date, sku_key, avg(sales) AS sales FROM cs GROUP BY 1, 2, 3""")
+@register("cluster_start_counts_daily", f"{BASE}, {START_COUNTS}")
+def cluster_start_counts_daily(spark, sf_dir):
+    return _reports(spark, sf_dir).start_counts()
+
+
+@register("cluster_all_series", f"{MONTHS} {ALL_SERIES}")
 def cluster_all_series(spark, sf_dir):
     return _month_reports(spark, sf_dir).all_series()
 
 
+@register("cluster_all_series_daily", f"{BASE} {ALL_SERIES}")
+def cluster_all_series_daily(spark, sf_dir):
+    return _reports(spark, sf_dir).all_series()
+
+
 @register("cluster_returns", f"""{BASE}
 SELECT cluster, count(*) AS n_rows, count(*) FILTER (sales <= 0) AS n_events,
        CAST(count(*) FILTER (sales <= 0) AS DOUBLE) / count(sales) * 100 AS percent FROM cs GROUP BY 1""")

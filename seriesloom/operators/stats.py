@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,11 +27,11 @@ def _f_tail(f: pd.Series, df1: pd.Series, df2: pd.Series) -> pd.Series:
 
 def anova(df: DataFrame, cluster: str = "cluster", value: str = "value") -> DataFrame:
     """The type-2 table `value ~ cluster` as one row."""
-    table = group_stats(df, cluster, value).agg(
+    every = W.partitionBy()  # one row per cluster
+    grand = F.sum(F.col("n") * F.col("mean")).over(every) / F.sum("n").over(every)
+    table = group_stats(df, cluster, value).withColumn("_far", F.col("mean") - grand).agg(
         F.count(F.lit(1)).alias("_k"), F.sum("n").alias("_n"), F.sum("ss").alias("ss_within"),
-        (F.sum(F.col("n") * F.col("mean") * F.col("mean"))
-         - F.try_divide(F.sum(F.col("n") * F.col("mean")) * F.sum(F.col("n") * F.col("mean")),
-                        F.sum("n"))).alias("ss_between"))
+        F.sum(F.col("n") * F.col("_far") * F.col("_far")).alias("ss_between"))
     table = table.select(
         "ss_between", "ss_within", (F.col("_k") - 1).alias("df_between"),
         (F.col("_n") - F.col("_k")).alias("df_within"))
