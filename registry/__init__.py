@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import functools
 
-from seriesloom.session import ship_package
+from seriesloom.session import bound_tasks, ship_package
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +22,7 @@ def register(name: str, sql: str | None = None):
         @functools.wraps(fn)
         def run(spark, sf_dir):
             ship_package(spark)
+            bound_tasks(spark)
             return fn(spark, sf_dir)
 
         QUERIES[name] = run

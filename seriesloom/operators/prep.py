@@ -185,28 +185,39 @@ def missing_products(flags: DataFrame, features: DataFrame) -> DataFrame:
     return flags.join(features.select("sku_key"), "sku_key", "left_anti").select("sku_key")
 
 
-def filled_cells(cells: DataFrame, variable: str = "sales") -> DataFrame:
-    """Every product x date cell with `is_missing`, by stretching each observed
-    cell over the gap behind it: the work stays inside the product's partition."""
-    dates = durable(calendar(cells))
+def _spans(cells: DataFrame, variable: str, dates: DataFrame) -> DataFrame:
+    """Each observed cell with the positions it stands for: its own and the gap behind it,
+    the first one also the gap before it."""
     placed = join_checked(cells, dates, "tran_date")
     w = W.partitionBy("sku_key").orderBy("date_pos")
-    span = placed.select(
+    return placed.select(
         "sku_key", "date_pos", "n_dates", F.col(variable).alias("_v"),
         F.when(F.row_number().over(w) == 1, F.lit(0)).otherwise(F.col("date_pos")).alias("_from"),
         (F.coalesce(F.lead("date_pos").over(w), F.col("n_dates")) - 1).alias("_to"))
-    grid = span.select("sku_key", "date_pos", "_v",
-                       F.explode(F.sequence("_from", "_to")).alias("_p"))
+
+
+def _stretched(spans: DataFrame, dates: DataFrame, keys: list[str], variable: str) -> DataFrame:
+    grid = spans.select(*keys, "date_pos", "_v", F.explode(F.sequence("_from", "_to")).alias("_p"))
     hit = F.col("_p") == F.col("date_pos")
-    grid = grid.select("sku_key", F.col("_p").alias("date_pos"),
+    grid = grid.select(*keys, F.col("_p").alias("date_pos"),
                        F.when(hit, F.col("_v")).alias(variable), (~hit).alias("is_missing"))
     return join_checked(grid, dates.select("date_pos", "tran_date"), "date_pos")
 
 
+def filled_cells(cells: DataFrame, variable: str = "sales") -> DataFrame:
+    """Every product x date cell with `is_missing`, by stretching each observed
+    cell over the gap behind it: the work stays inside the product's partition."""
+    dates = durable(calendar(cells))
+    return _stretched(_spans(cells, variable, dates), dates, ["sku_key"], variable)
+
+
 def coverage_map(cells: DataFrame, variable: str = "sales") -> DataFrame:
-    """The picture of missing cells as a table: products ranked by missing dates."""
+    """The picture of missing cells as a table: products ranked by missing dates. Ranks meet
+    the observed cells; the grid of all cells is made behind the last shuffle and sort."""
+    dates = durable(calendar(cells))
     ranked = sorted_rank(null_counts(cells), ["nas", "sku_key"]).select("sku_key", "rank")
-    return filled_cells(cells, variable).join(ranked, "sku_key").select(
+    spans = _spans(cells, variable, dates).join(ranked, "sku_key")
+    return _stretched(spans, dates, ["rank", "sku_key"], variable).select(
         "rank", "sku_key", "tran_date", variable, "is_missing")
 
 

@@ -11,6 +11,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Rows behind a shuffle are merged into tasks of about so many compressed bytes. Product-days take some
+# 14 bytes there and half a kilobyte in the hash maps of a task, so the usual 64 MB are gigabytes of memory.
+TASK_INPUT = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+
+
 def build_session(app: str = "seriesloom", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the operators assume (AQE, UTC, Arrow)."""
     builder = SparkSession.builder.appName(app)
@@ -20,6 +25,7 @@ def build_session(app: str = "seriesloom", master: str | None = None, **conf) ->
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        TASK_INPUT[0]: TASK_INPUT[1],
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
@@ -31,6 +37,12 @@ def build_session(app: str = "seriesloom", master: str | None = None, **conf) ->
     return builder.getOrCreate()
 
 
+def bound_tasks(spark: SparkSession) -> None:
+    """Keep tasks behind a shuffle small, unless the session has a size of its own."""
+    if spark.conf.get(TASK_INPUT[0], None) is None:
+        spark.conf.set(*TASK_INPUT)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder of the session; only a local session gets its own."""
     context = spark.sparkContext

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from seriesloom import sources
+from seriesloom import session, sources
 from seriesloom.operators import prep, ranking, reports, scale, stats
 
 D = [dt.date(2020, 1, i) for i in range(1, 10)]
@@ -198,3 +198,35 @@ def test_sample_and_split_do_not_hang_on_partitions(spark):
     assert picked == {r[0] for r in prep.sample_exact(df.repartition(13), 300, ["sku_key"], 1).collect()}
     train, test = prep.train_test_split(df, ["sku_key"])
     assert train.count() + test.count() == 5000 and abs(train.count() - 3750) < 150
+
+
+def test_coverage_grid_is_made_behind_the_last_sort(spark, capsys):
+    cells = spark.createDataFrame(
+        [(1, D[0], 5.0), (1, D[2], 7.0), (2, D[1], 1.0)], "sku_key bigint, tran_date date, sales double")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with ranks too many to broadcast
+    try:
+        grid = prep.coverage_map(cells)
+        grid.explain()
+        lines = capsys.readouterr().out.splitlines()
+        made = next(i for i, line in enumerate(lines) if "Generate explode(sequence" in line)
+        assert not any("Exchange hash" in line or "SortMergeJoin" in line for line in lines[:made])
+        got = sorted(tuple(r) for r in grid.select("rank", "sku_key", "tran_date", "sales").collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == [(0, 1, D[0], 5.0), (0, 1, D[1], None), (0, 1, D[2], 7.0),
+                   (1, 2, D[0], None), (1, 2, D[1], 1.0), (1, 2, D[2], None)]
+
+
+def test_tasks_behind_a_shuffle_are_bounded(spark):
+    key, size = session.TASK_INPUT
+    assert spark.conf.get(key) == size
+    try:
+        spark.conf.unset(key)
+        session.bound_tasks(spark)
+        assert spark.conf.get(key) == size
+        spark.conf.set(key, "64m")  # a size of the session's own stays
+        session.bound_tasks(spark)
+        assert spark.conf.get(key) == "64m"
+    finally:
+        spark.conf.set(key, size)
