@@ -1,11 +1,13 @@
-"""Numeric kernels on one series: small numpy helpers called from vectorized UDFs.
+"""Numeric kernels on series: small numpy helpers called from vectorized UDFs.
 
-Each takes a 1-d array and returns a dict of feature values; a feature that the
-series is too short for is left out and becomes NULL.
+One kind takes a 1-d array and returns a dict of feature values; a feature that the
+series is too short for is left out and becomes NULL. `complexity` and `dynamics` take
+series of one length as the rows of a table and return a row of values for each, NaN for NULL.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -110,74 +112,102 @@ COMPLEXITY_FIELDS = [f"approximate_entropy__m_2__r_{str(r).replace('.', '_')}"
 COMPLEXITY_FIELDS += ["sample_entropy"]
 COMPLEXITY_FIELDS += [f"permutation_entropy__dimension_{d}__tau_1" for d in PERMUTATION_SIZES]
 COMPLEXITY_FIELDS += [f"lempel_ziv_complexity__bins_{b}" for b in LEMPEL_ZIV_BINS]
-_ROWS_AT_ONCE = 256
+_CELLS_AT_ONCE = 200_000
 
 
-def _windows(x: np.ndarray, m: int) -> np.ndarray:
-    return np.lib.stride_tricks.sliding_window_view(x, m)
+def _of_table(fn):
+    """`fn` on the rows of a table; a single series gets the result of its row."""
+    @functools.wraps(fn)
+    def run(x: np.ndarray, *args, **options):
+        return fn(x[None], *args, **options)[0] if x.ndim == 1 else fn(x, *args, **options)
+    return run
 
 
-def _near(windows: np.ndarray, radii: np.ndarray) -> np.ndarray:
-    """Per window and radius, how many windows lie within it (itself included).
+def _near(table: np.ndarray, m: int, limits: np.ndarray) -> np.ndarray:
+    """Per series, window of m values and radius (a column of `limits`), how many windows of the
+    series lie within it (itself included).
 
-    Rows go through in slices: memory stays linear in the series length.
+    Series and windows go through in slices: memory stays linear in the series length.
     """
-    counts = np.empty((len(windows), len(radii)))
-    for s in range(0, len(windows), _ROWS_AT_ONCE):
-        gap = np.abs(windows[s:s + _ROWS_AT_ONCE, None, :] - windows[None, :, :]).max(axis=2)
-        counts[s:s + _ROWS_AT_ONCE] = (gap[:, :, None] <= radii).sum(axis=1)
+    n = table.shape[1] - m + 1
+    counts = np.empty((len(table), n, limits.shape[1]))
+    many, rows = max(1, _CELLS_AT_ONCE // (n * n)), max(1, _CELLS_AT_ONCE // n)
+    for s in range(0, len(table), many):
+        part, radii = table[s:s + many], limits[s:s + many]
+        for r in range(0, n, rows):
+            end, gap = min(r + rows, n), None
+            for k in range(m):
+                step = np.abs(part[:, r + k:end + k, None] - part[:, None, k:n + k])
+                gap = step if gap is None else np.maximum(gap, step, out=gap)
+            for i in range(radii.shape[1]):
+                counts[s:s + many, r:end, i] = np.count_nonzero(gap <= radii[:, i, None, None], axis=2)
     return counts
 
 
-def approximate_entropy(x: np.ndarray, radii: tuple = ENTROPY_RADII, m: int = 2) -> np.ndarray:
-    limits = np.array(radii) * x.std()
+@_of_table
+def approximate_entropy(table: np.ndarray, radii: tuple = ENTROPY_RADII, m: int = 2) -> np.ndarray:
+    limits = np.array(radii) * table.std(axis=1)[:, None]
 
     def phi(size: int) -> np.ndarray:
-        w = _windows(x, size)
-        return np.log(_near(w, limits) / len(w)).mean(axis=0)
+        return np.log(_near(table, size, limits) / (table.shape[1] - size + 1)).mean(axis=1)
     return np.abs(phi(m) - phi(m + 1))
 
 
-def sample_entropy(x: np.ndarray, m: int = 2) -> float:
-    limit = np.array([0.2 * x.std()])
-    b_windows = _windows(x, m)[:-1]
-    b = _near(b_windows, limit).sum() - len(b_windows)
-    a_windows = _windows(x, m + 1)
-    a = _near(a_windows, limit).sum() - len(a_windows)
-    return -math.log(a / b) if a > 0 and b > 0 else math.nan
+@_of_table
+def sample_entropy(table: np.ndarray, m: int = 2) -> np.ndarray:
+    limits, windows = 0.2 * table.std(axis=1)[:, None], table.shape[1] - m
+    b, a = (_near(x, size, limits).sum(axis=(1, 2)) - windows for x, size in ((table[:, :-1], m), (table, m + 1)))
+    known = (a > 0) & (b > 0)
+    return np.where(known, -np.log(np.where(known, a, 1) / np.where(known, b, 1)), np.nan)
 
 
-def permutation_entropy(x: np.ndarray, size: int) -> float:
-    order = np.argsort(_windows(x, size), axis=1, kind="stable")
-    p = np.unique(order, axis=0, return_counts=True)[1] / len(order)
-    return float(-(p * np.log(p)).sum())
+@_of_table
+def permutation_entropy(table: np.ndarray, size: int) -> np.ndarray:
+    order = np.argsort(np.lib.stride_tricks.sliding_window_view(table, size, axis=1), axis=2, kind="stable")
+    codes = order @ size ** np.arange(size)
+    rows = np.arange(len(table))[:, None]
+    found, counts = np.unique(rows * size**size + codes, return_counts=True)  # a code is below size ** size
+    p = counts / codes.shape[1]
+    return -np.bincount(found // size**size, p * np.log(p), len(table))
 
 
-def lempel_ziv(x: np.ndarray, bins: int) -> float:
-    """Distinct phrases of the binned series over its length."""
+def _phrases(symbols: list[int]) -> int:
     root: dict = {}
     node, phrases = root, 0
-    for symbol in np.searchsorted(np.linspace(x.min(), x.max(), bins + 1)[1:], x, side="left").tolist():
+    for symbol in symbols:
         if symbol in node:
             node = node[symbol]
         else:  # a phrase is a known one and a symbol more
             node[symbol] = {}
             node, phrases = root, phrases + 1
-    return phrases / len(x)
+    return phrases
 
 
-def complexity(x: np.ndarray) -> dict:
-    out, n = {}, len(x)
+@_of_table
+def lempel_ziv(table: np.ndarray, bins: int) -> np.ndarray:
+    """Distinct phrases of the binned series over its length."""
+    low, high = table.min(axis=1), table.max(axis=1)
+    symbols, varied = np.zeros(table.shape, dtype="int64"), np.flatnonzero(low != high)
+    many = max(1, _CELLS_AT_ONCE // (bins * table.shape[1]))
+    for s in range(0, len(varied), many):
+        rows = varied[s:s + many]
+        edges = np.linspace(low[rows], high[rows], bins + 1, axis=1)[:, 1:]
+        symbols[rows] = np.count_nonzero(edges[:, None, :] < table[rows][:, :, None], axis=2)
+    return np.array([_phrases(row) for row in symbols.tolist()]) / table.shape[1]
+
+
+def complexity(table: np.ndarray) -> np.ndarray:
+    n, out = table.shape[1], {}
     if n > 3:
-        names = COMPLEXITY_FIELDS[: len(ENTROPY_RADII)]
-        out.update(zip(names, approximate_entropy(x)))
-        out["sample_entropy"] = sample_entropy(x)
+        out.update(zip(COMPLEXITY_FIELDS, approximate_entropy(table).T))
+        out["sample_entropy"] = sample_entropy(table)
     for d in PERMUTATION_SIZES:
         if n >= d:
-            out[f"permutation_entropy__dimension_{d}__tau_1"] = permutation_entropy(x, d)
+            out[f"permutation_entropy__dimension_{d}__tau_1"] = permutation_entropy(table, d)
     for b in LEMPEL_ZIV_BINS:
-        out[f"lempel_ziv_complexity__bins_{b}"] = lempel_ziv(x, b)
-    return out
+        out[f"lempel_ziv_complexity__bins_{b}"] = lempel_ziv(table, b)
+    missing = np.full(len(table), np.nan)
+    return np.column_stack([out.get(f, missing) for f in COMPLEXITY_FIELDS])
 
 
 # ------------------------------------------------------------------- dynamics
@@ -209,36 +239,89 @@ def _dickey_fuller_fit(x: np.ndarray, lags: int, first: int) -> tuple[float, flo
     return float(beta[0] / math.sqrt(cov[0, 0])), aic
 
 
-def dickey_fuller(x: np.ndarray) -> tuple[float, float, float]:
-    n = len(x)
-    most = min(math.ceil(12 * (n / 100) ** 0.25), n // 2 - 2)
-    if most < 0 or x.std() == 0:
-        return math.nan, math.nan, math.nan
-    scored = [(_dickey_fuller_fit(x, k, most)[1], k) for k in range(most + 1)]
-    scored = [s for s in scored if not math.isnan(s[0])]
-    if not scored:
-        return math.nan, math.nan, math.nan
-    lags = min(scored)[1]
-    stat = _dickey_fuller_fit(x, lags, lags)[0]
+def _design(table: np.ndarray, lags: int, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Target, level, and the other columns of that regression, for every series."""
+    d = np.diff(table)
+    shifted = [d[:, first - i: d.shape[1] - i] for i in range(1, lags + 1)]
+    return d[:, first:], table[:, first:-1], np.stack([np.ones_like(d[:, first:]), *shifted], axis=2)
+
+
+def _fitted(columns: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the regressions on the first, first two, ... columns: the target along each new direction, the
+    residuals' squares and the diagonal of R; and whether all of that is far from rounding errors."""
+    directions, r = np.linalg.qr(columns)
+    along = np.einsum("srk,sr->sk", directions, target)
+    whole = (target ** 2).sum(axis=1)[:, None]
+    rss = whole - np.cumsum(along ** 2, axis=1)
+    diagonal = np.diagonal(r, axis1=1, axis2=2)
+    size = np.abs(diagonal)
+    clear = (size.min(axis=1) > 1e-7 * size.max(axis=1)) & (rss > 1e-6 * whole).all(axis=1)
+    return along, rss, diagonal, clear
+
+
+def _best_lags(table: np.ndarray, most: int) -> np.ndarray:
+    """Lags of the least AIC, -1 without any. The regressions are nested: one QR has them all."""
+    def one_by_one(x: np.ndarray) -> int:
+        scored = [(_dickey_fuller_fit(x, k, most)[1], k) for k in range(most + 1)]
+        return min((s for s in scored if not math.isnan(s[0])), default=(0.0, -1))[1]
+    rows = table.shape[1] - 1 - most
+    widths = np.arange(2, min(most + 2, rows - 1) + 1)  # of regressions with more rows than columns
+    if not len(widths):
+        return np.full(len(table), -1)
+    target, level, others = _design(table, most, most)
+    _, rss, _, clear = _fitted(np.concatenate([level[:, :, None], others], axis=2)[:, :, :widths[-1]], target)
+    aic = rows * (math.log(2 * math.pi) + np.log(np.where(clear[:, None], rss[:, 1:], 1.0) / rows) + 1) + 2 * widths
+    lags = aic.argmin(axis=1)
+    for i in np.flatnonzero(~clear):
+        lags[i] = one_by_one(table[i])
+    return lags
+
+
+def _level_t(table: np.ndarray, lags: int) -> np.ndarray:
+    """t of the level in the regression with `lags` differences; the level is its last column here."""
+    target, level, others = _design(table, lags, lags)
+    rows, width = target.shape[1], lags + 2
+    if rows <= width:
+        return np.full(len(table), np.nan)
+    along, rss, diagonal, clear = _fitted(np.concatenate([others, level[:, :, None]], axis=2), target)
+    spread = np.where(clear, rss[:, -1], 1.0) / (rows - width)
+    t = np.sign(diagonal[:, -1]) * along[:, -1] / np.sqrt(spread)
+    for i in np.flatnonzero(~clear):
+        t[i] = _dickey_fuller_fit(table[i], lags, lags)[0]
+    return t
+
+
+def _unit_root_p(stat: float) -> float:
     if math.isnan(stat):
-        return math.nan, math.nan, math.nan
+        return math.nan
     if stat > TAU_MAX:
-        p = 1.0
-    elif stat < TAU_MIN:
-        p = 0.0
-    else:
-        terms = TAU_SMALL if stat <= TAU_SPLIT else TAU_LARGE
-        z = sum(c * stat**i for i, c in enumerate(terms))
-        p = 0.5 * math.erfc(-z / math.sqrt(2.0))
-    return stat, p, float(lags)
-
-
-def drift_polynomial(x: np.ndarray) -> np.ndarray | None:
-    """Cubic fit of the mean next change over the mean level of 30 quantile bins."""
+        return 1.0
+    if stat < TAU_MIN:
+        return 0.0
+    z = sum(c * stat**i for i, c in enumerate(TAU_SMALL if stat <= TAU_SPLIT else TAU_LARGE))
+    return 0.5 * math.erfc(-z / math.sqrt(2.0))
+
+
+@_of_table
+def dickey_fuller(table: np.ndarray) -> np.ndarray:
+    """Rows of (statistic, p, lags)."""
+    n = table.shape[1]
+    most = min(math.ceil(12 * (n / 100) ** 0.25), n // 2 - 2)
+    out = np.full((len(table), 3), np.nan)
+    varied = np.flatnonzero(table.std(axis=1) != 0)
+    if most < 0 or not len(varied):
+        return out
+    lags = _best_lags(table[varied], most)
+    for k in np.unique(lags[lags >= 0]):
+        rows = varied[lags == k]
+        stat = _level_t(table[rows], int(k))
+        out[rows] = np.column_stack([stat, [_unit_root_p(t) for t in stat], np.where(np.isnan(stat), np.nan, k)])
+    return out
+
+
+def drift_polynomial(x: np.ndarray, edges: np.ndarray) -> np.ndarray | None:
+    """Cubic fit of the mean next change over the mean level of the bins between `edges`."""
     level, change = x[:-1], np.diff(x)
-    edges = np.quantile(level, np.linspace(0, 1, DRIFT_BINS + 1))
-    if len(np.unique(edges)) < len(edges):
-        return None
     place = np.clip(np.searchsorted(edges, level, side="left") - 1, 0, DRIFT_BINS - 1)
     rows = np.bincount(place, minlength=DRIFT_BINS)
     used = rows > 0
@@ -249,19 +332,26 @@ def drift_polynomial(x: np.ndarray) -> np.ndarray | None:
     return np.polyfit(mean_level, mean_change, DRIFT_DEGREE)
 
 
-def dynamics(x: np.ndarray) -> dict:
-    out = {}
-    if len(x) > 4:
-        out.update(zip(DYNAMICS_FIELDS[:3], dickey_fuller(x)))
-        fit = drift_polynomial(x)
+def drift(table: np.ndarray) -> np.ndarray:
+    """Rows of that fit's coefficients over 30 quantile bins and its largest root; none where bins coincide."""
+    out = np.full((len(table), DRIFT_DEGREE + 2), np.nan)
+    edges = np.quantile(table[:, :-1], np.linspace(0, 1, DRIFT_BINS + 1), axis=1).T
+    for i in np.flatnonzero((np.diff(np.sort(edges, axis=1)) != 0).all(axis=1)):
+        fit = drift_polynomial(table[i], edges[i])
         if fit is not None:
-            out.update(zip(DYNAMICS_FIELDS[3:7], fit))
+            out[i, :-1] = fit
             roots = np.roots(fit)
             if len(roots):
-                out[DYNAMICS_FIELDS[7]] = float(np.max(roots.real))
+                out[i, -1] = np.max(roots.real)
     return out
 
 
+def dynamics(table: np.ndarray) -> np.ndarray:
+    if table.shape[1] <= 4:
+        return np.full((len(table), len(DYNAMICS_FIELDS)), np.nan)
+    return np.column_stack([dickey_fuller(table), drift(table)])
+
+
 # --------------------------------------------------------------- time warping
 
 def dtw_batch(a: np.ndarray, len_a: np.ndarray, b: np.ndarray, len_b: np.ndarray,

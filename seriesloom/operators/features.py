@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -424,12 +425,36 @@ def _kernel(name: str, fields: list[str], fn):
     return run
 
 
+def by_length(series, fn, width: int) -> np.ndarray:
+    """`fn` on tables of series of equal length; a row of `width` values for each series, in the given order."""
+    out, lengths = np.full((len(series), width), np.nan), np.array([len(v) for v in series], dtype=int)
+    for n in np.unique(lengths[lengths > 0]):
+        rows = np.flatnonzero(lengths == n)
+        many = max(1, NUMBERS_AT_ONCE // n)
+        for s in range(0, len(rows), many):
+            at = rows[s:s + many]
+            out[at] = fn(np.stack([np.asarray(series[i], dtype=float) for i in at]))
+    return out
+
+
+def _table_kernel(fields: list[str], fn):
+    """The same for `fn(table of series of one length) -> table of values`; NaN is NULL."""
+    schema = T.StructType([T.StructField(f, T.DoubleType()) for f in fields])
+
+    @F.pandas_udf(schema)
+    def run(s: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame(by_length(s.to_list(), fn, len(fields)), columns=fields)
+    return run
+
+
 KERNELS = {
     "autoregression": (kernels.AUTOREGRESSION_FIELDS, kernels.autoregression),
     "wavelets": (kernels.WAVELET_FIELDS, kernels.wavelets),
     "complexity": (kernels.COMPLEXITY_FIELDS, kernels.complexity),
     "dynamics": (kernels.DYNAMICS_FIELDS, kernels.dynamics),
 }
+TABLE_KERNELS = ("complexity", "dynamics")
+NUMBERS_AT_ONCE = 100_000  # of the series in a table
 SQL_FAMILIES = ["moments", "shape", "quantiles", "counts", "levels", "duplicates", "changes", "positions",
                 "runs", "autocorrelation", "partial", "lagged", "trend", "corridors", "segments", "spectrum"]
 FAMILIES = SQL_FAMILIES + list(KERNELS)
@@ -478,7 +503,8 @@ def extract_features(series: DataFrame, value: str = "sales",
         arrays = series_arrays(frame)
         for family in picked:
             fields, fn = KERNELS[family]
-            arrays = arrays.withColumn(f"_{family}", _kernel(family, fields, fn)("series"))
+            kernel = _table_kernel(fields, fn) if family in TABLE_KERNELS else _kernel(family, fields, fn)
+            arrays = arrays.withColumn(f"_{family}", kernel("series"))
         parts.append(arrays.select(ID, *[
             F.nullif(F.col(f"_{f}").getField(n), F.lit(math.nan)).alias(n)
             for f in picked for n in KERNELS[f][0]]))

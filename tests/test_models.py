@@ -1,3 +1,4 @@
+import collections
 import datetime
 import itertools
 
@@ -368,6 +369,49 @@ def test_series_kernels():
     assert slow[0] < 0.05
 
 
+def test_kernels_on_tables_of_series():
+    """Rows of one length together against plain loops over one series at a time."""
+    rng = np.random.default_rng(5)
+    given = [rng.integers(0, 9, n).astype(float) for n in [*range(1, 30), 60] for _ in range(3)]
+    given += [np.zeros(12), np.arange(12.0), np.array([0.0, 1.0] * 6)]  # constant, rank-deficient, periodic
+
+    def near(x, m, limit):
+        w = [x[i:i + m] for i in range(len(x) - m + 1)]
+        return np.array([sum(np.abs(a - b).max() <= limit for b in w) for a in w])
+
+    def entropy(x, d):
+        seen = collections.Counter(tuple(np.argsort(x[i:i + d], kind="stable")) for i in range(len(x) - d + 1))
+        p = np.array(list(seen.values())) / (len(x) - d + 1)
+        return -(p * np.log(p)).sum()
+    found = features.by_length(given, kernels.complexity, len(kernels.COMPLEXITY_FIELDS))
+    moved = features.by_length(given, kernels.dynamics, len(kernels.DYNAMICS_FIELDS))
+    for x, row, move in zip(given, found, moved):
+        row, n = dict(zip(kernels.COMPLEXITY_FIELDS, row)), len(x)
+        for r in (0.1, 0.9):
+            got = row[f"approximate_entropy__m_2__r_{str(r).replace('.', '_')}"]
+            if n > 3:
+                phi = [np.log(near(x, m, r * x.std()) / (n - m + 1)).mean() for m in (2, 3)]
+                assert np.isclose(got, abs(phi[0] - phi[1]))
+            else:
+                assert np.isnan(got)
+        for d in (3, 7):
+            got = row[f"permutation_entropy__dimension_{d}__tau_1"]
+            assert np.isclose(got, entropy(x, d)) if n >= d else np.isnan(got)
+        phrases, bins = {()}, np.minimum(np.maximum(np.ceil((x - x.min()) / max(np.ptp(x), 1) * 2), 1), 2)
+        phrase = ()
+        for symbol in bins:
+            phrase += (symbol,)
+            if phrase not in phrases:
+                phrases.add(phrase)
+                phrase = ()
+        assert np.isclose(row["lempel_ziv_complexity__bins_2"], (len(phrases) - 1) / n)
+        most = min(int(np.ceil(12 * (n / 100) ** 0.25)), n // 2 - 2)
+        fits = [(kernels._dickey_fuller_fit(x, k, most)[1], k) for k in range(most + 1)] if n > 4 and x.std() else []
+        fits = [f for f in fits if not np.isnan(f[0])]
+        stat = kernels._dickey_fuller_fit(x, min(fits)[1], min(fits)[1])[0] if fits else np.nan
+        assert np.isclose(move[0], stat, equal_nan=True) and (np.isnan(stat) or move[2] == min(fits)[1])
+
+
 def test_levels(spark):
     rng = np.random.default_rng(9)
     given = {1: 10 ** rng.uniform(-4, 9, 200) * rng.choice([-1, 1], 200), 2: np.zeros(5), 3: np.arange(1.0, 10), 4: np.array([1e-7, -30.0])}
