@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from seriesloom.functions import distributions, kernels
-from seriesloom.operators import (density, dtw, embed, features, graph, kmeans, neighbours, prep, quality, som,
+from seriesloom.operators import (density, dtw, embed, features, graph, kmeans, neighbours, pairs, prep, quality, som,
                                   supervised, ward)
 
 
@@ -205,6 +205,49 @@ def test_silhouette(spark, rows):
     assert np.isclose(np.mean(squared), 0.9899503)
 
 
+def test_blocks_of_a_cell_are_bounded(spark, monkeypatch):
+    df = spark.range(2000).selectExpr("id", "0 AS c")
+    assert pairs.to_blocks(df, ["c"], "id", 10).select("_block").distinct().count() > 150
+    assert pairs.to_blocks(df, ["c"], "id", 10, most=6).select("_block").distinct().count() == 6
+    monkeypatch.setattr(pairs, "MOST_ROWS", 100)  # a block's size is bounded before their number is
+    assert pairs.to_blocks(df, ["c"], "id", 10, most=6).select("_block").distinct().count() == 20
+
+
+def test_silhouettes_of_many_blocks_and_labels(spark, monkeypatch):
+    """Slices of blocks and several labels at once against plain loops."""
+    monkeypatch.setattr(quality, "BLOCK_ROWS", 7)
+    rng = np.random.default_rng(4)
+    x, labels = rng.normal(size=(90, 3)), rng.integers(0, 4, (2, 90))
+    df = spark.createDataFrame([(i, int(labels[0, i]), int(labels[1, i]), x[i].tolist()) for i in range(90)],
+                               "sku_key bigint, one int, two int, vec array<double>")
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    for rows in (20, 200):
+        for r in quality._mean_distances(df, "sku_key", rows, ["one", "two"]).collect():
+            there = labels[r["set"]] == r["other"]
+            assert r["n"] == there.sum() and np.isclose(r["total"], d[r["sku_key"], there].sum())
+
+
+def test_silhouette_by_k_agrees_with_a_pass_for_each(spark):
+    df = frame(spark, np.random.default_rng(2).normal(size=(50, 2)))
+    got = {r["k"]: r["silhouette"] for r in quality.silhouette_by_k(df, ks=(2, 3, 4), n_init=2).collect()}
+    for k in (2, 3, 4):
+        labels = kmeans.fit_kmeans(df, k, 2).assigned
+        want = quality.silhouette_score(quality.silhouette_samples(df.join(labels, "sku_key"))).first()[0]
+        assert np.isclose(got[k], want)
+
+
+def test_beginnings_of_paths_leave_out_no_near_pair():
+    rng = np.random.default_rng(7)
+    many = [rng.integers(0, 9, n).astype(float) for n in rng.integers(1, 30, 60)]
+    table, lengths = kernels.padded(many)
+    i, j = (x.ravel() for x in np.indices((60, 60)))
+    want = kernels.dtw_batch(table[i], lengths[i], table[j], lengths[j])
+    for limit in (1.0, 5.0, 12.0):
+        near = kernels.dtw_begins_near(table.T[:, i], table.T[:, j], lengths[i] + lengths[j] - 2, limit)
+        assert near[want <= limit].all() and (limit > 5 or near.mean() < 0.6)
+        assert (dtw.run_bounds(many, many, i, j, limit) == dtw.run_bounds(many, many, j, i, limit)).all()
+
+
 def plain_dbscan(x, eps, least):
     near = ((x[:, None] - x[None]) ** 2).sum(axis=2) <= eps * eps
     core = near.sum(axis=1) >= least
