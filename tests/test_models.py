@@ -521,3 +521,28 @@ def test_spectrum_and_partial_autocorrelation(spark):
     assert abs(got[1]["sales__partial_autocorrelation__lag_1"] - 0.7) < 0.1
     assert got[3]["sales__fft_coefficient__attr_angle__coeff_0"] == 0.0
     assert got[5]["sales__fft_aggregated__aggtype_centroid"] is None
+
+
+def test_settled_kmeans_collects_only_cells_that_changed(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = np.column_stack([rng.normal(size=(3000, 2)) * 50, rng.random((3000, 6)) < 0.2])
+    x = np.vstack([x, x[:200]])
+    sent, real = [], kmeans._moved_rows
+
+    def noted(blocks, before, centres):
+        out = real(blocks, before, centres)
+        sent.append((before is None, int((out[0] != 0).any(axis=1).sum()), centres))
+        return out
+    monkeypatch.setattr(kmeans, "_moved_rows", noted)
+    fit = kmeans.fit_settled(frame(spark, x), 40, seed=3)
+    centres = sent[0][2]
+    while True:  # a plain run from the same start
+        near = ((x[:, None, :] - centres) ** 2).sum(axis=2).argmin(axis=1)
+        after = np.array([x[near == c].mean(axis=0) if (near == c).any() else centres[c] for c in range(len(centres))])
+        still = ((after - centres) ** 2).sum(axis=1).max() <= kmeans.STAYS ** 2
+        centres = after
+        if still:
+            break
+    assert np.allclose(fit.centres, centres)
+    changes = [n for whole, n, _ in sent if not whole]
+    assert len(changes) > 5 and changes[-2] < 40 / 2
