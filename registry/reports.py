@@ -9,6 +9,7 @@ from seriesloom.operators import prep, stats
 from seriesloom.operators.reports import (ClusterReports, cumulative_sales, profile,
                                           ranked_profile)
 from seriesloom.plans.binding import transactions
+from seriesloom.session import durable
 
 from . import register
 from .views import FIRST_LABELS, LABELS, ORDER, TX, bands, days, days_sql, reports_sql, snap_sql
@@ -26,6 +27,12 @@ def _reports(spark, sf_dir, labels: bool = False) -> ClusterReports:
     return ClusterReports(asg, d)
 
 
+def _pinned_reports(spark, sf_dir) -> ClusterReports:
+    """The same over product-days that are made once; bands and reports read them several times."""
+    d = durable(days(spark, sf_dir))
+    return ClusterReports(bands(d), d)
+
+
 def _rounded(df, *columns, digits=6):
     return df.withColumns({c: snap(c, digits) for c in columns})
 
@@ -188,13 +195,13 @@ BOX = ["q1", "median", "q3", "whisker_low", "whisker_high"]
 
 @register("cluster_box", _box_sql(BASE, "p1", "p9"))
 def cluster_box(spark, sf_dir):
-    box = _reports(spark, sf_dir).box(["sales", "selling_price", "avg_discount"])
+    box = _pinned_reports(spark, sf_dir).box(["sales", "selling_price", "avg_discount"])
     return _rounded(box, *BOX)
 
 
 @register("cluster_box_iqr", _box_sql(BASE, "q1 - 1.5 * (q3 - q1)", "q3 + 1.5 * (q3 - q1)"))
 def cluster_box_iqr(spark, sf_dir):
-    box = _reports(spark, sf_dir).box(["sales", "selling_price", "avg_discount"], whiskers=None)
+    box = _pinned_reports(spark, sf_dir).box(["sales", "selling_price", "avg_discount"], whiskers=None)
     return _rounded(box, *BOX)
 
 

@@ -174,17 +174,16 @@ class ClusterReports:
             marks = marks.withColumns({"_low": F.col("q1") - reach, "_high": F.col("q3") + reach})
         marks = durable(marks)
         v = F.col("_v")
-        # a whisker never ends inside the box
-        ends = durable(self._attach(counted, marks, keys).groupBy(*keys).agg(
+        # a whisker never ends inside the box; as it ends at a value, what lies beyond it lies beyond its mark
+        beyond = (v < F.least("_low", "q1")) | (v > F.greatest("_high", "q3"))
+        ends = self._attach(counted, marks, keys).groupBy(*keys).agg(
             *[F.first(c).alias(c) for c in ("n", "q1", "median", "q3")],
             F.min(F.when(v >= F.col("_low"), v)).alias("_wl"),
-            F.max(F.when(v <= F.col("_high"), v)).alias("_wh")
-        ).withColumns({"whisker_low": F.least(F.coalesce("_wl", "q1"), "q1"),
-                       "whisker_high": F.greatest(F.coalesce("_wh", "q3"), "q3")}).drop("_wl", "_wh"))
-        beyond = (v < F.col("whisker_low")) | (v > F.col("whisker_high"))
-        outside = self._attach(counted, ends, keys).groupBy(*keys).agg(
+            F.max(F.when(v <= F.col("_high"), v)).alias("_wh"),
             F.coalesce(F.sum(F.when(beyond, F.col("_c"))), F.lit(0)).alias("n_outliers"))
-        return ends.join(outside, keys)
+        return ends.select(
+            *keys, "n", "q1", "median", "q3", F.least(F.coalesce("_wl", "q1"), "q1").alias("whisker_low"),
+            F.greatest(F.coalesce("_wh", "q3"), "q3").alias("whisker_high"), "n_outliers")
 
     def density(self, variables: list[str], points: int = 100) -> DataFrame:
         """Gaussian kernel density on an even grid (Scott's bandwidth).

@@ -53,3 +53,19 @@ def test_registered_models_run_over_their_full_ranges(spark, monkeypatch):
     assert seen["elbow"].arguments["k_range"] == 20 and seen["grain"] == "day"
     assert list(seen["silhouette_by_k"].arguments["ks"]) == list(range(2, 11))
     assert seen["silhouette_by_k"].arguments["n_init"] == 10
+
+
+def _noted(monkeypatch, module):
+    """Product-days made and tables written by `module`, in order."""
+    seen, real_days, real_durable = [], module.days, module.durable
+    monkeypatch.setattr(module, "days", lambda *a: seen.append("days") or real_days(*a))
+    monkeypatch.setattr(module, "durable", lambda df: seen.append("pinned") or real_durable(df))
+    return seen
+
+
+@pytest.mark.parametrize("name", ["cluster_box", "cluster_box_iqr"])
+def test_boxes_make_product_days_once(spark, monkeypatch, name):
+    from registry import reports
+    seen = _noted(monkeypatch, reports)
+    getattr(reports, name)(spark, SF)
+    assert seen == ["days", "pinned"]
