@@ -315,7 +315,7 @@ PLANE = f"""{P}, s AS (SELECT sku_key, (sales - a) / sa AS x, (selling_price - b
 
 
 def _plane(spark, sf_dir):
-    df = scale.scale(_products(spark, sf_dir), ["sales", "selling_price"])
+    df = scale.scale(durable(_products(spark, sf_dir)), ["sales", "selling_price"])
     return df.select("sku_key", F.col("sales").alias("x"), F.col("selling_price").alias("y"))
 
 

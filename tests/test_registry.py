@@ -69,3 +69,10 @@ def test_boxes_make_product_days_once(spark, monkeypatch, name):
     seen = _noted(monkeypatch, reports)
     getattr(reports, name)(spark, SF)
     assert seen == ["days", "pinned"]
+
+
+def test_the_plane_of_products_is_made_once(spark, monkeypatch):
+    from registry import models
+    seen = _noted(monkeypatch, models)
+    models._plane(spark, SF)
+    assert seen == ["days", "pinned"]
