@@ -34,8 +34,26 @@ def read_vocabulary(path: str) -> str:
         return f.read()
 
 
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(64)]
+
+
 def _bytes(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    n = len(ids)
+    return _PACK[n](*ids) if n < len(_PACK) else struct.pack(f"<{n}I", *ids)
+
+
+class _Letters(dict):
+    """The byte-level alphabet by code point, for `str.translate`: the letters of its UTF-8 bytes."""
+
+    def __init__(self):
+        # Printable bytes stand for themselves, the others follow from 256 on.
+        plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        others = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in plain)}
+        self.of_byte = [others.get(b, chr(b)) for b in range(256)]
+
+    def __missing__(self, point: int) -> str:
+        found = self[point] = "".join(self.of_byte[b] for b in chr(point).encode())
+        return found
 
 
 class PieceTokenizer:
@@ -56,10 +74,7 @@ class PieceTokenizer:
         self.known, self.old = {}, {}
         self.seen, self.marks = bytearray(SEEN_PLACES), 0
         self.normal = self.tokenizer.normalizer.normalize_str if kind == "word" else None
-        # The byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on.
-        plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-        others = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in plain)}
-        self.letters = {b: others.get(b, chr(b)) for b in range(256)}
+        self.letters, self.tokenize = _Letters(), self.model.tokenize
         self.finals = {c: _bytes(self.tokenizer.encode(c, add_special_tokens=False).ids) for c in _FINAL}
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -142,8 +157,8 @@ class PieceTokenizer:
     def _word(self, text: str) -> bytes:
         """Ids of one run of letters: the library's model without its splitting."""
         if self.kind == "byte" or not text.isascii():
-            text = text.encode().decode("latin-1").translate(self.letters)
-        return _bytes([t.id for t in self.model.tokenize(text)])
+            text = text.translate(self.letters)
+        return _bytes([t.id for t in self.tokenize(text)])
 
 
 _ready: dict = {}

@@ -82,3 +82,16 @@ def test_files(spark, monkeypatch):
     got = tf.round_trip(df, read_vocabulary(PATH), range_docs=20).orderBy("start").collect()
     assert [tuple(r) for r in got] == expected(rows)
     assert tf.round_trip(df.limit(0), read_vocabulary(PATH)).count() == 0
+
+
+def test_letters_are_looked_up_by_code_point():
+    """Words reach the model by one lookup per character; ids are the library's."""
+    import public_tokenizers
+    from seriesloom.llm import tokens
+
+    made = tokens.PieceTokenizer(tokens.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json")), "byte")
+    words = ["word", "Straße", "señorío", "слово", "言葉", "𝒳𝒴", "a" * 300]
+    made.encode([" ".join(words)])
+    assert made.letters[ord("é")] == "Ã©" and ord("ñ") in made.letters
+    for text in [*words, *(f"x {w}" for w in words)]:
+        assert np.frombuffer(made.encode([text])[0], "<u4").tolist() == made.tokenizer.encode(text, add_special_tokens=False).ids
