@@ -1,6 +1,7 @@
 import collections
 import datetime
 import itertools
+import math
 
 import numpy as np
 import pytest
@@ -546,3 +547,32 @@ def test_settled_kmeans_collects_only_cells_that_changed(spark, monkeypatch):
     assert np.allclose(fit.centres, centres)
     changes = [n for whole, n, _ in sent if not whole]
     assert len(changes) > 5 and changes[-2] < 40 / 2
+
+
+def test_map_epochs_read_rows_packed_once(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x, book = rng.normal(size=(700, 4)), rng.normal(size=(9, 4))
+    sums, hits, gap = som.block_sums(som.packed_blocks(frame(spark, x)), book)
+    d = ((x[:, None, :] - book) ** 2).sum(axis=2)
+    near = d.argmin(axis=1)
+    assert np.array_equal(hits, np.bincount(near, minlength=9)) and np.isclose(gap, np.sqrt(d.min(axis=1)).mean())
+    assert np.allclose(sums, [x[near == c].sum(axis=0) for c in range(9)])
+    packed, real = [], som.packed_blocks
+    monkeypatch.setattr(som, "packed_blocks", lambda df: packed.append(1) or real(df))
+    assert len(som.train_som(frame(spark, x), 3, 3, rough=3, fine=2).history) == 5 and packed == [1]
+
+
+def test_wavelets_and_p_values_look_up_what_repeats():
+    rng = np.random.default_rng(7)
+    kernels._ricker.cache_clear()
+    for _ in range(20):
+        kernels.wavelets(rng.normal(size=30))
+    assert kernels._ricker.cache_info().hits > kernels._ricker.cache_info().misses
+    x = np.array([0.0, 2.0, 1.0, 1.0, 3.0, 0.0, 0.0, 4.0, 1.0])
+    m = kernels.ricker_transform(x, 1)
+    tops = [i for i in range(1, 8) if m[i - 1] < m[i] > m[i + 1]]
+    noise = np.percentile(np.abs(m), 10)
+    assert kernels.ridge_peaks(x, 1) == sum(m[i] >= noise for i in tops) and kernels.ridge_peaks(x[:2], 1) == 0
+    sizes = np.array([0.5, 1.0, 0.5, 30.0])
+    assert distributions._log_gamma(sizes).tolist() == [math.lgamma(v) for v in sizes]
+    assert len(distributions._log_gamma(np.empty(0))) == 0
