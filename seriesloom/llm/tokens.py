@@ -6,26 +6,38 @@ wherever the tokenizer's own split ends a word anyway:
 * "byte" files (byte-level, a word takes the one space before it): before a single
   space, and on both sides of a single line feed, with no white space on either side;
 * "word" files (white space is dropped): at every space and line feed;
-* in both, between a run of letters and one final `,` `.` `;` `:` `!` or `?`.
+* in both, between an ASCII letter and an ASCII punctuation mark, and between a run of
+  letters and one final `,` `.` `;` `:` `!` or `?`.
 
-Each piece that is new to a task goes through the tokenizers library, a run of
-letters straight to its model. A piece is kept when it comes again, with a bound: when the table of pieces is
-full it becomes the old one, from which pieces in use move on; no result changes.
+The bytes of many texts are cut together, as array operations, and Arrow numbers the
+different pieces. Each piece that is new to a task goes through the tokenizers library, a
+run of letters straight to its model. Short pieces are kept, with a bound: when the table
+of pieces is full, the half that was used most stays; no result changes.
 """
 
 from __future__ import annotations
 
 import os
-import re
-import struct
+from itertools import chain
 
-#: Pieces kept per table, and the longest piece worth keeping.
-KEPT_PIECES, KEPT_LENGTH = 350_000, 40
-SEEN_PLACES = 1 << 23  # a byte each, for pieces that came once
-_SPACE = re.compile(r"(?<=\S) (?=\S)")
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from .common import text_slices
+
+#: Pieces kept, and the most bytes of a piece worth keeping.
+KEPT_PIECES, KEPT_LENGTH = 700_000, 40
+SLICE = 3_000_000  # characters cut together
 _FINAL = frozenset(",.;:!?")
-BARE = "\ud800"  # no text from Spark holds half a surrogate pair
-_UNEVEN = ("  ", "\n\n", " \n", "\n ")
+_WHITE, _LETTER, _MARK, _LEAD = 1, 2, 3, 4
+_ASCII = [chr(b) for b in range(128)]
+_WIDE = np.array([int.from_bytes(chr(c).encode().ljust(3, b"\0")) for c in range(128, 0x10000)
+                  if chr(c).isspace()])  # white space of two or three bytes
+#: What a byte of UTF-8 is: a lead byte may begin white space.
+_KINDS = np.array([_WHITE if c.isspace() else _LETTER if c.isalpha() else
+                   _MARK if c.isprintable() and not c.isdigit() else 0 for c in _ASCII] + [0] * 128, dtype=np.uint8)
+_KINDS[np.unique(_WIDE >> 16)] = _LEAD
 
 
 def read_vocabulary(path: str) -> str:
@@ -34,14 +46,6 @@ def read_vocabulary(path: str) -> str:
         return f.read()
 
 
-_PACK = [struct.Struct(f"<{n}I").pack for n in range(64)]
-
-
-def _bytes(ids: list[int]) -> bytes:
-    n = len(ids)
-    return _PACK[n](*ids) if n < len(_PACK) else struct.pack(f"<{n}I", *ids)
-
-
 class _Letters(dict):
     """The byte-level alphabet by code point, for `str.translate`: the letters of its UTF-8 bytes."""
 
@@ -56,11 +60,27 @@ class _Letters(dict):
         return found
 
 
-class PieceTokenizer:
-    """Ids of texts as little-endian unsigned 32-bit bytes.
+def _kinds(data: np.ndarray) -> np.ndarray:
+    """What each byte of `data` is; every byte of a white space character counts as white."""
+    kinds = _KINDS[data]
+    lead = np.flatnonzero(kinds == _LEAD)
+    if len(lead):
+        three, long = np.append(data, np.zeros(2, np.uint8)).astype(np.int64), data[lead] >= 0xE0
+        found = (three[lead] << 16) | (three[lead + 1] << 8) | np.where(long, three[lead + 2], 0)
+        white = np.isin(found, _WIDE)
+        kinds[lead[white]] = kinds[lead[white] + 1] = _WHITE
+        kinds[lead[white & long] + 2] = _WHITE
+    return kinds
+
 
-    A piece stands for itself after one space, or after BARE for itself alone.
-    """
+def _spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places start[0], start[0] + 1, ... of `size[0]` values, then those of the next."""
+    ends = np.cumsum(size)
+    return np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+
+
+class PieceTokenizer:
+    """Ids of texts as little-endian unsigned 32-bit bytes. A piece holds the space before it."""
 
     def __init__(self, vocabulary: str, kind: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -71,79 +91,108 @@ class PieceTokenizer:
         if kind not in ("byte", "word"):
             raise ValueError(f"kind is byte or word, not {kind!r}")
         self.kind, self.model = kind, self.tokenizer.model
-        self.known, self.old = {}, {}
-        self.seen, self.marks = bytearray(SEEN_PLACES), 0
+        # a token that was added and is no special one may hold any characters
+        self.marks = all(t.special for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.known = pa.array([], pa.string())
+        self.uses, self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
         self.normal = self.tokenizer.normalizer.normalize_str if kind == "word" else None
         self.letters, self.tokenize = _Letters(), self.model.tokenize
-        self.finals = {c: _bytes(self.tokenizer.encode(c, add_special_tokens=False).ids) for c in _FINAL}
+        self.finals = {c: self.tokenizer.encode(c, add_special_tokens=False).ids for c in _FINAL}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        pieces = self._words if self.kind == "word" else self._lines
-        return [b"".join(self._ids(pieces(t))) for t in texts]
-
-    def _words(self, text: str) -> list[str]:
+        return [ids for a, b in text_slices(texts, SLICE) for ids in self._encode(texts[a:b])]
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        if self.kind == "word":
+            texts = [self._lowered(t) for t in texts]
+        parts = [t.encode() for t in texts]
+        data = np.frombuffer(b"".join(parts), np.uint8)
+        if not len(data):
+            return [b""] * len(texts)
+        begin = np.cumsum([0, *map(len, parts)])
+        cuts = self._cuts(data, begin)
+        pieces = pa.Array.from_buffers(pa.string(), len(cuts) - 1,
+                                       [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(data)])
+        ids, sizes = self._ids(pieces)
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(cuts, begin)] * 4
+        coded = ids.astype("<u4").tobytes()
+        return [coded[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+    @staticmethod
+    def _lowered(text: str) -> str:
         # the tokenizer lower-cases as well; a capital sigma's form hangs on its place,
         # a dotted capital i becomes two characters
         text = text if "\u03a3" in text or "\u0130" in text else text.lower()
-        return text.replace("\n", " ").split(" ")
-
-    def _lines(self, text: str) -> list[str]:
-        even = not (any(u in text for u in _UNEVEN) or text[:1].isspace() or text[-1:].isspace())
-        if even:
-            pieces = f"{BARE}{text}".replace("\n", f" {BARE}\n {BARE}").split(" ")
-            if len(text.split()) + text.count("\n") == len(pieces):  # no other white space
-                return pieces
-        first, *rest = _SPACE.split(text)
-        return [BARE + first, *rest]
-
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        found = list(map(self.known.get, pieces))
-        if None in found:
-            made = self._make({p for p, i in zip(pieces, found) if i is None})
-            if len(self.known) + len(made) > KEPT_PIECES:
-                self.old, self.known = self.known, {}
-            self._keep(made)
-            found = [made[p] if i is None else i for p, i in zip(pieces, found)]
-        return found
-
-    def _keep(self, made: dict[str, bytes]) -> None:
-        """Keep what comes for the second time; most pieces never do."""
-        seen, mask = self.seen, len(self.seen) - 1
-        for p, ids in made.items():
-            place = hash(p) & mask
-            if seen[place]:
-                if len(p) <= KEPT_LENGTH:
-                    self.known[p] = ids
-            else:
-                seen[place] = 1
-                self.marks += 1
-        if self.marks > len(seen) // 2:
-            self.seen, self.marks = bytearray(len(seen)), 0
-
-    def _make(self, pieces: set[str]) -> dict[str, bytes]:
-        made, mixed, known, old, finals = {}, [], self.known, self.old, self.finals
+        return text.replace("\n", " ")
+
+    def _cuts(self, data: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        """Where pieces begin, and the end; `begin` has the same of the texts."""
+        kinds, cut = _kinds(data), np.zeros(len(data) + 1, dtype=bool)
+        if self.marks:
+            cut[1:-1] = (kinds[:-1] == _LETTER) & (kinds[1:] == _MARK)
+        if self.kind == "word":
+            cut[:-1] |= data == 32
+        else:
+            edge, white = np.zeros(len(data) + 1, dtype=bool), kinds == _WHITE
+            edge[begin] = True
+            at = np.flatnonzero((data == 32) | (data == 10))
+            at = at[~(edge[at] | edge[at + 1])]
+            at = at[~(white[at - 1] | white[at + 1])]
+            cut[at] = True
+            cut[at[data[at] == 10] + 1] = True
+        cut[begin] = True
+        return np.flatnonzero(cut)
+
+    def _ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces in a row, and how many each has."""
+        coded = pieces.dictionary_encode()
+        number, names = coded.indices.to_numpy(), coded.dictionary
+        at = pc.index_in(self.known, value_set=names).fill_null(-1).to_numpy()
+        held = np.flatnonzero(at >= 0)
+        place = np.full(len(names), -1)
+        place[at[held]] = held
+        fresh = np.flatnonzero(place < 0)
+        place[fresh] = len(self.known) + np.arange(len(fresh))
+        new = names.take(pa.array(fresh))
+        made = self._make(new.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.concatenate([self.sizes, np.fromiter(map(len, made), np.int64, len(made))])
+        ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(made), np.uint32)])
+        start, own = np.cumsum(sizes) - sizes, place[number]
+        self.uses = np.append(self.uses, np.zeros(len(made), np.int64))
+        self.uses[place] += np.bincount(number, minlength=len(names))
+        if made:
+            self._keep(pa.concat_arrays([self.known, new]), start, sizes, ids)
+        return ids[_spans(start[own], sizes[own])], sizes[own]
+
+    def _keep(self, names: pa.Array, start: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+        stay = np.flatnonzero(pc.binary_length(names).to_numpy() <= KEPT_LENGTH)
+        if len(stay) > KEPT_PIECES:
+            most = np.argsort(self.uses[stay], kind="stable")[-(KEPT_PIECES // 2):]  # of equals, the newest
+            stay, self.uses = stay[np.sort(most)], self.uses // 2
+        self.known, self.uses, self.sizes = names.take(pa.array(stay)), self.uses[stay], sizes[stay]
+        self.ids = ids[_spans(start[stay], sizes[stay])]
+
+    def _make(self, pieces: list[str]) -> list[list[int]]:
+        made, heads, mixed, finals = [], {}, [], self.finals
         for p in pieces:
-            if (ids := old.get(p)) is not None:
-                made[p] = ids
-            elif p[-1:] in _FINAL and (letters := self._letters(head := p[:-1])):
-                ids = known.get(head) or made.get(head)
-                if ids is None:
-                    ids = made[head] = self._word(letters)
-                made[p] = ids + finals[p[-1]]
-            elif letters := self._letters(p):
-                made[p] = self._word(letters)
+            if letters := self._letters(p):
+                made.append(self._word(letters))
+            elif p[-1] in _FINAL and (letters := self._letters(head := p[:-1])):
+                if head not in heads:
+                    heads[head] = self._word(letters)
+                made.append(heads[head] + finals[p[-1]])
             else:
-                mixed.append(p)
+                mixed.append(len(made))
+                made.append([])
         if mixed:
-            texts = [p[1:] if p[:1] == BARE else " " * (self.kind == "byte") + p for p in mixed]
-            made |= {p: _bytes(e.ids) for p, e in zip(mixed, self.tokenizer.encode_batch(
-                texts, add_special_tokens=False))}
+            for i, e in zip(mixed, self.tokenizer.encode_batch([pieces[i] for i in mixed], add_special_tokens=False)):
+                made[i] = e.ids
         return made
 
     def _letters(self, piece: str) -> str | None:
         """What the model gets of a piece, if that is a run of letters."""
-        bare = piece[:1] == BARE
-        text = piece[1:] if bare else piece
+        spaced = piece[:1] == " "
+        text = piece[1:] if spaced else piece
         if not text.isalpha():
             return None
         if self.normal and not text.isascii():
@@ -152,13 +201,15 @@ class PieceTokenizer:
                 return None
         elif self.normal:
             text = text.lower()
-        return text if bare or self.kind == "word" else " " + text
+        return " " + text if spaced and self.kind == "byte" else text
 
-    def _word(self, text: str) -> bytes:
+    def _word(self, text: str) -> list[int]:
         """Ids of one run of letters: the library's model without its splitting."""
-        if self.kind == "byte" or not text.isascii():
+        if not text.isascii():
             text = text.translate(self.letters)
-        return _bytes([t.id for t in self.tokenize(text)])
+        elif text[0] == " ":
+            text = self.letters.of_byte[32] + text[1:]
+        return [t.id for t in self.tokenize(text)]
 
 
 _ready: dict = {}

@@ -95,3 +95,38 @@ def test_letters_are_looked_up_by_code_point():
     assert made.letters[ord("é")] == "Ã©" and ord("ñ") in made.letters
     for text in [*words, *(f"x {w}" for w in words)]:
         assert np.frombuffer(made.encode([text])[0], "<u4").tolist() == made.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_a_word_meets_the_model_once():
+    """A new word is kept at its first sight, with any mark behind it."""
+    made, asked = PieceTokenizer(read_vocabulary(PATH), "byte"), []
+    real = made.tokenize
+    made.tokenize = lambda text: asked.append(text) or real(text)
+    for text in ("so zebrine, zebrine. (zebrine) so", "so zebrine*** zebrine", "zebrine% so zebrine!"):
+        assert np.frombuffer(made.encode([text])[0], "<u4").tolist() == made.tokenizer.encode(text, add_special_tokens=False).ids
+    assert sorted(asked) == sorted({"so", "Ġso", "zebrine", "Ġzebrine"})
+
+
+FILES = {"byte": "byte_bpe_50k", "word": "word_bpe_49k"}
+
+
+@pytest.mark.parametrize("kind", FILES)
+def test_texts_cut_together_keep_their_ids(kind, monkeypatch):
+    """No cut is made beside white space of any width, nor across the texts of a slice."""
+    monkeypatch.setattr("seriesloom.llm.tokens.SLICE", 50)
+    made = PieceTokenizer(read_vocabulary(public_tokenizers.path(f"{FILES[kind]}.json")), kind)
+    wide = ["\x1c", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u202f", "\u205f", "\u3000", "\u200b", "\u201c", "あ", "\0"]
+    texts = [t for w in wide for t in (w, f"a{w}", f"{w} b", f"a {w}b", f"a{w} b.c'd", f"a {w}", f" {w}\n{w}x\ny ", "", "a\nb", "\n")]
+    want = [e.ids for e in made.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() for x in made.encode(texts)] == want
+    assert made.encode([]) == [] and made.encode(["", ""]) == [b"", b""]
+
+
+def test_a_full_table_keeps_the_most_used(monkeypatch):
+    monkeypatch.setattr("seriesloom.llm.tokens.KEPT_PIECES", 8)
+    made = PieceTokenizer(read_vocabulary(PATH), "byte")
+    for text in (" the" * 9 + " of" * 8, " a b c d e f g", " " + "x" * 50):
+        assert np.frombuffer(made.encode([text])[0], "<u4").tolist() == made.tokenizer.encode(text, add_special_tokens=False).ids
+    assert made.known.to_pylist() == [" the", " of", " f", " g"]
+    assert made.sizes.sum() == len(made.ids) and len(made.uses) == 4
