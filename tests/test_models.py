@@ -5,6 +5,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from seriesloom.functions import distributions, kernels
 from seriesloom.operators import (density, dtw, embed, features, graph, kmeans, neighbours, pairs, prep, quality, som,
@@ -249,6 +250,41 @@ def test_beginnings_of_paths_leave_out_no_near_pair():
         assert (dtw.run_bounds(many, many, i, j, limit) == dtw.run_bounds(many, many, j, i, limit)).all()
 
 
+def test_whole_steps_and_diagonals_agree_with_plain_warping():
+    rng = np.random.default_rng(5)
+    i, j = (x.ravel() for x in np.indices((40, 40)))
+    for scale, noise in ((1.0, 0.0), (0.5, 0.0), (0.37, 0.0), (900.0, 1e-3)):
+        many = [rng.integers(-9, 9, n) * scale + noise * rng.normal(size=n) for n in rng.integers(1, 30, 40)]
+        many[3] = np.repeat(many[3], 3)
+        table, lengths = kernels.padded(many)
+        want = kernels.dtw_batch(table[i], lengths[i], table[j], lengths[j])
+        days = table.T[:, i], lengths[i], table.T[:, j], lengths[j]
+        assert np.array_equal(kernels.dtw_diagonals(*days), want)
+        for limit in np.quantile(want, [0.05, 0.3, 0.6]):
+            cut = np.where(want <= limit * (1 + 1e-10), want, np.inf)
+            assert np.array_equal(kernels.dtw_diagonals(*days, limit), cut)
+            (steps,), reach, loss = kernels.in_steps(limit, table)
+            assert reach < 180 and loss == (scale not in (1.0, 0.5))
+            for width in (None, 5):
+                near = kernels.dtw_steps_near(steps.T[:width, i], steps.T[:width, j], lengths[i] + lengths[j] - 2, reach, loss,
+                                              None if width else lengths[i])
+                assert near[want <= limit].all() and (width or loss or (near == (want <= limit)).all())
+
+
+@pytest.mark.parametrize("short", (400, 0))
+def test_costly_pair_tasks_go_to_several_spark_tasks(spark, monkeypatch, short):
+    """Blocks of a few kilobytes: adaptive execution would warp all pairs in one task."""
+    monkeypatch.setattr(dtw, "SHORT", short)
+    rng = np.random.default_rng(6)
+    data = [rng.integers(0, 6, 5).astype(float).tolist() for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(data)), "sku_key bigint, series array<double>")
+    found = dtw.dtw_pairs(df, 3.0, rows=4).withColumn("at", F.spark_partition_id()).where("dist > 0").collect()
+    assert len({r["at"] for r in found}) > 8
+    assert {(r["a"], r["b"]) for r in found} == {
+        (i, j) for i, j in itertools.combinations(range(60), 2) if 0 < plain_dtw(data[i], data[j]) <= 3
+        and i == data.index(data[i]) and j == data.index(data[j])}
+
+
 def plain_dbscan(x, eps, least):
     near = ((x[:, None] - x[None]) ** 2).sum(axis=2) <= eps * eps
     core = near.sum(axis=1) >= least
