@@ -4,6 +4,7 @@ import itertools
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -185,6 +186,25 @@ def test_spectral_layout_with_a_narrow_gap(spark, kind):
     assert np.all(np.abs((got * vectors).sum(axis=0)) > 1 - 1e-5)
 
 
+def test_held_layout_writes_no_table_a_round(spark, monkeypatch):
+    """The driver's block and the distributed one give the same vectors, up to their signs; only the latter writes each round."""
+    edges = [(i, i + 1, 1.0 + i % 3) for i in range(9)] + [(9, 9, 0.5), (3, 8, 0.2)]
+    df, found, written = spark.createDataFrame(edges, "a int, b int, weight double"), [], []
+    real = embed.durable
+    monkeypatch.setattr(embed, "durable", lambda table: written.append(1) or real(table))
+    monkeypatch.setattr(embed, "LINKS_A_TASK", 6)
+    for numbers in (embed.STATE_NUMBERS, 0):
+        written.clear()
+        monkeypatch.setattr(embed, "STATE_NUMBERS", numbers)
+        found.append(embed.spectral_layout(df, 2).orderBy("id"))
+        assert (len(written) < 6) == (numbers > 0)
+    assert found[0].schema["id"].dataType == found[1].schema["id"].dataType
+    one, other = (np.array([[r["id"], *r["vec"]] for r in f.collect()]) for f in found)
+    assert (one[:, 0] == other[:, 0]).all()
+    turn = np.sign((one[:, 1:] * other[:, 1:]).sum(axis=0))
+    assert np.allclose(one[:, 1:], other[:, 1:] * turn, atol=1e-6)
+
+
 def test_pca(spark):
     x = blobs(60)
     got = np.array([r["vec"] for r in embed.embed(frame(spark, x), 2).orderBy("sku_key").collect()])
