@@ -258,6 +258,36 @@ def test_silhouette_by_k_agrees_with_a_pass_for_each(spark):
         assert np.isclose(got[k], want)
 
 
+def test_silhouette_sums_of_all_sets_take_one_product(spark, monkeypatch):
+    """A pass over a block's distances serves every set of clusters."""
+    rng = np.random.default_rng(3)
+    x, labels = rng.normal(size=(30, 2)), rng.integers(0, 3, (3, 30))
+    kernels_made = []
+    monkeypatch.setattr(quality, "run_tasks", lambda blocked, tasks, columns, schema, kernel: kernels_made.append(kernel) or blocked)
+    df = spark.createDataFrame([(i, *map(int, labels[:, i]), x[i].tolist()) for i in range(30)],
+                               "sku_key bigint, s0 int, s1 int, s2 int, vec array<double>")
+    try:
+        quality._mean_distances(df, "sku_key", 100, ["s0", "s1", "s2"])
+    except Exception:  # noqa: BLE001 - only the kernel is wanted here
+        pass
+
+    class Counted(np.ndarray):
+        products = 0
+
+        def __matmul__(self, other):
+            Counted.products += 1
+            return np.asarray(self) @ np.asarray(other)
+    monkeypatch.setattr(quality, "squared_distances", lambda a, b: ((a[:, None] - b[None]) ** 2).sum(axis=2).view(Counted))
+    sides = [{"sku_key": pa.array(np.arange(30)[part]), "vec": pa.array(x[part].tolist()),
+              **{f"s{i}": pa.array(labels[i][part].astype("int32")) for i in range(3)}} for part in (slice(0, 17), slice(17, 30))]
+    out = kernels_made[0](*sides, False)
+    assert Counted.products == 2
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    for k, i, other, total, n in zip(*(out[c].to_pylist() for c in ("sku_key", "set", "other", "total", "n"))):
+        there = (labels[i] == other) & ((np.arange(30) < 17) != (k < 17))
+        assert n == there.sum() and np.isclose(total, d[k, there].sum())
+
+
 def test_beginnings_of_paths_leave_out_no_near_pair():
     rng = np.random.default_rng(7)
     many = [rng.integers(0, 9, n).astype(float) for n in rng.integers(1, 30, 60)]
